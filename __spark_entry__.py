@@ -409,7 +409,7 @@ _QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {
     "c8_avg_gap": lambda w, d: _states(w).groupBy("user_id").agg(
         F.count("avg_order_gap_days").alias("days_with_gap"), _money("avg_order_gap_days", "sum_gap")
     ),
-    "c9_clv_segment": lambda w, d: C.with_clv_segment(_states(w)).groupBy("date_key", "clv_segment").agg(
+    "c9_clv_segment": lambda w, d: _snapshot(w).groupBy("date_key", "clv_segment").agg(
         F.count(F.lit(1)).alias("customers"),
         F.min("cumulative_ltv").alias("min_ltv"),
         F.max("cumulative_ltv").alias("max_ltv"),

@@ -131,22 +131,39 @@ def percentiles(df: DataFrame, by: Sequence[str], value: str, fractions: Mapping
     return stats.select(*by, "n", *[interpolate(name, q) for name, q in exact.items()])
 
 
-def _at_or_after(value: Column, key: Column, bound: Column | None, bound_key: str) -> Column:
-    """(value, key) >= (bound, bound_key) where NULL values (``bound`` None) come first."""
-    if bound is None:
-        return value.isNotNull() | (key >= F.lit(bound_key))
-    return F.coalesce((value > bound) | ((value == bound) & (key >= F.lit(bound_key))), F.lit(False))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _bucket_tree(value: Column, key: Column, cuts: list[tuple[object, str]], first: int = 0) -> Column:
-    """Number of cuts at or before (value, key), by halving."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    bound, bound_key = cuts[middle]
-    return F.when(
-        _at_or_after(value, key, None if bound is None else F.lit(bound), bound_key), _bucket_tree(value, key, cuts[middle + 1 :], first + middle + 1)
-    ).otherwise(_bucket_tree(value, key, cuts[:middle], first))
+class _CompositeOrder:
+    """Comparison of (value, key) with fixed cut points, NULL values first.
+
+    The conditions are SQL text: a tree of cut points parses in one call, while building it from Column
+    objects would take thousands of calls into the JVM.
+    """
+
+    def __init__(self, value: str, value_type: str, key: str):
+        self.value, self.type, self.key = f"`{value}`", value_type, f"`{key}`"
+
+    def at_or_after(self, bound: object, bound_key: str) -> str:
+        key_test = f"{self.key} >= {_quoted(bound_key)}"
+        if bound is None:
+            return f"({self.value} IS NOT NULL OR {key_test})"
+        cut = f"CAST({_quoted(str(bound))} AS {self.type})"
+        return f"coalesce({self.value} > {cut} OR ({self.value} = {cut} AND {key_test}), false)"
+
+    def bucket(self, cuts: list[tuple[object, str]], first: int = 0) -> str:
+        """Number of cuts at or before the row, by halving."""
+        if not cuts:
+            return str(first)
+        middle = len(cuts) // 2
+        upper = self.bucket(cuts[middle + 1 :], first + middle + 1)
+        lower = self.bucket(cuts[:middle], first)
+        return f"CASE WHEN {self.at_or_after(*cuts[middle])} THEN {upper} ELSE {lower} END"
+
+    def tile(self, opening_rows: list[tuple[object, str]]) -> str:
+        """1 + number of tile-opening rows at or before the row."""
+        return " + ".join(["1", *[f"CAST({self.at_or_after(*row)} AS INT)" for row in opening_rows]])
 
 
 def _sort_key(row: tuple[object, str]) -> tuple:
@@ -182,11 +199,12 @@ def global_ntile(
     sample = picked.collect()
 
     k = F.col(key)
+    order = {s: _CompositeOrder(c, df.schema[c].dataType.simpleString(), key) for s, c in columns.items()}
     bucket_of: dict[str, Column] = {}
     for score, column in columns.items():
         points = sorted({(row[column], row[key]) for row in sample}, key=_sort_key)
         step = max(1, len(points) // buckets)
-        bucket_of[score] = _bucket_tree(F.col(column), k, points[step::step])
+        bucket_of[score] = F.expr(order[score].bucket(points[step::step]))
 
     sizes: dict[str, dict[int, int]] = {score: {} for score in columns}
     pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("s"), b.alias("b")) for s, b in bucket_of.items()]))
@@ -195,31 +213,25 @@ def global_ntile(
 
     quotient, remainder = divmod(total, tiles)
     starts = {j * quotient + min(j, remainder) for j in range(1, tiles)}
-    opening_rows = None
+    candidates = []
     for score, column in columns.items():
         wanted, seen = [], 0
         for bucket in sorted(sizes[score]):
             size = sizes[score][bucket]
             wanted += [(bucket, start - seen + 1) for start in starts if seen <= start < seen + size]
             seen += size
-        if not wanted:
-            continue
-        order = W.partitionBy("_b").orderBy(F.col(column).asc_nulls_first(), k)
-        rows = (
-            df.select(k, F.col(column), bucket_of[score].alias("_b"))
-            .filter(F.col("_b").isin(sorted({b for b, _ in wanted})))
-            .withColumn("_rn", F.row_number().over(order))
-            .filter(reduce(lambda a, b: a | b, [(F.col("_b") == b) & (F.col("_rn") == rn) for b, rn in wanted]))
-            .select(F.lit(score).alias("score"), k.alias("key"), F.col(column).cast("string").alias("value"))
-        )
-        opening_rows = rows if opening_rows is None else opening_rows.unionByName(rows)
-    found = opening_rows.collect() if opening_rows is not None else []
-
-    def tile(score: str, column: str) -> Column:
-        result = F.lit(1)
-        for row in (r for r in found if r["score"] == score):
-            bound = None if row["value"] is None else F.lit(row["value"]).cast(df.schema[column].dataType)
-            result = result + _at_or_after(F.col(column), k, bound, row["key"]).cast("int")
-        return result
-
-    return df.withColumns({score: tile(score, column) for score, column in columns.items()})
+        if wanted:
+            in_order = W.partitionBy("_b").orderBy(F.col(column).asc_nulls_first(), k)
+            rows = (
+                df.select(k, F.col(column), bucket_of[score].alias("_b"))
+                .filter(F.col("_b").isin(sorted({b for b, _ in wanted})))
+                .withColumn("_rn", F.row_number().over(in_order))
+                .filter(reduce(lambda a, b: a | b, [(F.col("_b") == b) & (F.col("_rn") == rn) for b, rn in wanted]))
+            )
+            candidates.append(
+                rows.select(F.lit(score).alias("score"), k.alias("key"), F.col(column).cast("string").alias("value"))
+            )
+    opening_rows: dict[str, list[tuple[object, str]]] = {score: [] for score in columns}
+    for row in reduce(DataFrame.unionByName, candidates).collect() if candidates else []:
+        opening_rows[row["score"]].append((row["value"], row["key"]))
+    return df.withColumns({score: F.expr(order[score].tile(opening_rows[score])) for score in columns})

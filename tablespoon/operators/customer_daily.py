@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import churn_flag, to_gold_money, zero_if_null
 from ..functions.selection import order_statistics, rank_of_fraction, reaches
+from ..session import pin
 
 SNAPSHOT_COLUMNS = [
     "user_id", "date_key", "is_loyalty", "daily_order_count", "daily_gross_revenue", "daily_net_revenue",
@@ -30,8 +31,9 @@ def last_day(dates: DataFrame) -> DataFrame:
 
 
 def _customers_until_last_day(customers: DataFrame, dates: DataFrame) -> DataFrame:
-    # The right side is a single row.
-    return customers.select("user_id", "is_loyalty", "first_order_date").crossJoin(F.broadcast(last_day(dates)))
+    return customers.select(
+        "user_id", "is_loyalty", "first_order_date", last_day(dates).scalar().alias("last_day")
+    )
 
 
 def _every_day(first: Column, last: Column) -> Column:
@@ -75,6 +77,9 @@ def activity_with_totals(customers: DataFrame, dates: DataFrame, orders: DataFra
         & (F.col("order_day") <= F.col("last_day")),
         "left",
     ).drop("buyer")
+    # An order day unfolds into many calendar days, so tasks sized by these rows would be far too few. A fixed
+    # number of partitions is left alone by adaptive coalescing, and the window below needs this partitioning anyway.
+    days = days.repartition(int(days.sparkSession.conf.get("spark.sql.shuffle.partitions")), "user_id")
 
     in_order = W.partitionBy("user_id").orderBy("order_day")
     so_far = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -160,8 +165,11 @@ def with_churn_flag(days: DataFrame, active_days: int = 30, at_risk_days: int =
 
 
 def fct_customer_daily_snapshot(customers: DataFrame, dates: DataFrame, orders: DataFrame) -> DataFrame:
-    """Every customer on every day since the first order, up to the last calendar day."""
-    days = unfold_days(activity_with_totals(customers, dates, orders))
+    """Every customer on every day since the first order, up to the last calendar day.
+
+    The order days are written to the shared folder once; ranking and output then unfold them in place.
+    """
+    days = unfold_days(pin(activity_with_totals(customers, dates, orders)))
     return with_churn_flag(with_clv_segment(days)).select(*SNAPSHOT_COLUMNS)
 
 
@@ -179,7 +187,8 @@ def latest_snapshot(snapshot: DataFrame) -> DataFrame:
 def snapshot_as_of(customers: DataFrame, dates: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:
     """The snapshot rows of one day (default: the last calendar day) straight from the orders.
 
-    One pass over the orders up to that day replaces the whole history.
+    One pass over the orders up to that day replaces the whole history; its result, one row per customer, is
+    written to the shared folder for the ranking.
     """
     as_of = F.lit(day).cast("date") if day else last_day(dates).scalar()
     people = customers.select("user_id", "is_loyalty", "first_order_date").filter(F.col("first_order_date") <= as_of)
@@ -197,4 +206,4 @@ def snapshot_as_of(customers: DataFrame, dates: DataFrame, orders: DataFrame, da
         ],
     )
     days = people.join(totals, F.col("user_id") == F.col("buyer"), "left").withColumn("date_key", as_of)
-    return with_churn_flag(with_clv_segment(_state_on_day(days))).select(*SNAPSHOT_COLUMNS)
+    return with_churn_flag(with_clv_segment(pin(_state_on_day(days)))).select(*SNAPSHOT_COLUMNS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import loyalty_label, mean, share, to_gold_money
 from ..functions.selection import percentiles
+from ..session import pin
 from .sales import monthly_by
 
 
@@ -51,11 +52,11 @@ def repeat_rate(df: DataFrame) -> DataFrame:
 def capped_histogram(df: DataFrame, cap: str = "0.95", bins: int = 50) -> DataFrame:
     """Customers with positive revenue up to the exact ``cap`` percentile, in ``bins`` equal bins from zero.
 
-    The percentile is one row, so its broadcast has a fixed size.
+    The customers are written to the shared folder once; the percentile and the bins both read them.
     """
-    positive = df.filter(F.col("total_revenue") > 0)
+    positive = pin(df.filter(F.col("total_revenue") > 0))
     limit = percentiles(positive, [], "total_revenue", {"cap": cap}).select("cap")
-    kept = _with_status(positive).crossJoin(F.broadcast(limit)).filter(F.col("total_revenue") <= F.col("cap"))
+    kept = _with_status(positive).withColumn("cap", limit.scalar()).filter(F.col("total_revenue") <= F.col("cap"))
     scaled = (F.col("total_revenue") * 10000 * bins).cast("decimal(38,0)")
     number = F.floor(scaled / (F.col("cap") * 10000).cast("decimal(22,0)")).cast("bigint")
     return kept.groupBy("loyalty_status", F.least(number, F.lit(bins - 1)).alias("bin"), "cap").agg(
@@ -65,7 +66,7 @@ def capped_histogram(df: DataFrame, cap: str = "0.95", bins: int = 50) -> DataFr
 
 def box_stats(df: DataFrame) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 quartile ranges of the box) and outliers of lifetime value."""
-    positive = _with_status(df).filter(F.col("total_revenue") > 0)
+    positive = pin(_with_status(df).filter(F.col("total_revenue") > 0))
     quartiles = percentiles(
         positive, ["loyalty_status"], "total_revenue", {"q1": "0.25", "median": "0.5", "q3": "0.75"}
     )

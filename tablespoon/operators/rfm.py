@@ -24,13 +24,12 @@ def rfm_metrics(orders: DataFrame, as_of: str | None = None, months: int | None
     Lifetime up to the last order by default; ``as_of`` sets an earlier day, ``months`` limits the history.
     """
     if as_of:
-        orders = orders.filter(F.col("date_key") <= F.lit(as_of).cast("date"))
-    last = orders.agg(F.max("date_key").alias("last_date"))
-    if as_of:
-        last = last.select(F.lit(as_of).cast("date").alias("last_date"))
+        last = F.lit(as_of).cast("date")
+        orders = orders.filter(F.col("date_key") <= last)
+    else:
+        last = reference_date(orders).scalar()
     if months is not None:
-        orders = orders.filter(F.col("date_key") > F.add_months(last.scalar(), -months))
-    # The right side is a single row.
+        orders = orders.filter(F.col("date_key") > F.add_months(last, -months))
     return (
         orders.groupBy("user_id")
         .agg(
@@ -38,14 +37,8 @@ def rfm_metrics(orders: DataFrame, as_of: str | None = None, months: int | None
             F.count("order_id").alias("frequency"),
             to_gold_money(F.sum("net_revenue")).alias("monetary"),
         )
-        .crossJoin(F.broadcast(last))
-        .select(
-            "user_id",
-            F.datediff("last_date", "last_order").alias("recency_days"),
-            "frequency",
-            "monetary",
-            F.col("last_date").alias("date_key"),
-        )
+        .withColumn("date_key", last)
+        .select("user_id", F.datediff("date_key", "last_order").alias("recency_days"), "frequency", "monetary", "date_key")
     )
 
 
