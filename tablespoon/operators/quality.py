@@ -111,7 +111,7 @@ def same_count(table: str, a: DataFrame, b: DataFrame) -> DataFrame:
 
 def unique(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once; counted per key with map-side combine, so a hot key is one row."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("bad"))
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.count_if(F.col("_rows") > 1).alias("bad"))
     return _single(repeated, f"unique:{'+'.join(keys)}", table, F.col("bad") == 0, F.col("bad"), F.lit(0))
 
 

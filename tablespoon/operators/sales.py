@@ -49,9 +49,10 @@ def top_n(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def keep_keys(df: DataFrame, keys: DataFrame | list[str], key: str) -> DataFrame:
-    """Rows whose key is listed. ``keys`` is a short list or a :func:`top_n` frame of fixed size."""
+    """Rows whose key is listed. ``keys`` is a short list or a frame such as :func:`top_n`, whose row limit tells
+    Spark that it is small enough to broadcast."""
     if isinstance(keys, DataFrame):
-        return df.join(F.broadcast(keys.select(key)), key, "left_semi")
+        return df.join(keys.select(key), key, "left_semi")
     return df.filter(F.col(key).isin(keys))
 
 

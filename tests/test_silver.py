@@ -34,6 +34,11 @@ def test_day_is_the_text_day_in_any_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_unreadable_time_stays_as_null(spark):
+    row = silver(spark, {"CREATION_TIME_UTC": "soon"}).first()
+    assert (row.order_timestamp, row.order_date, row.order_date_partition) == (None, None, None)
+
+
 def test_category_rules_in_order(spark):
     cases = {
         "BBQ Plateshttps://x": "BBQ Plates", "Drip Chttps": "Drip Coffee", "Kid'shttps": "Kids", "Kid's": "Kids",
