@@ -91,7 +91,7 @@ def _parquet_scan(w: Warehouse) -> DataFrame:
 
 def _round_trip(w: Warehouse, df: DataFrame, layer: str, name: str, partition_cols: list[str]) -> DataFrame:
     layout = Layout(scratch_dir(w.spark, "round-trip"))
-    write_table(df, layout, layer, name, partition_cols)
+    write_table(df, layout, layer, name, partition_cols, tasks=w.spark.sparkContext.defaultParallelism)
     return read_table(w.spark, layout, layer, name)
 
 

@@ -35,17 +35,20 @@ def write_table(
     table: str,
     partition_cols: Sequence[str] = (),
     only_touched_partitions: bool = False,
+    tasks: int | None = None,
 ) -> str:
     """Overwrite a layer table and return its path.
 
     A partitioned write is rebalanced on its partition columns first, so that one day is written by a few
     tasks instead of by all of them. Adaptive execution splits a day that is too large for one task and
-    joins small ones, so neither tiny files nor a hot day hold the job up. ``only_touched_partitions``
-    replaces just the partitions present in ``df`` (reruns of a few days).
+    joins small ones, so neither tiny files nor a hot day hold the job up. Small data with very many partition
+    values is the exception: it would be joined into one task that opens every file in turn, so ``tasks`` sets
+    their number there. ``only_touched_partitions`` replaces just the partitions present in ``df`` (reruns of a
+    few days).
     """
     path = layout.path(layer, table)
     if partition_cols:
-        df = df.hint("rebalance", *partition_cols)
+        df = df.repartition(tasks, *partition_cols) if tasks else df.hint("rebalance", *partition_cols)
     writer = df.write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

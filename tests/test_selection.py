@@ -25,7 +25,7 @@ def frame(spark, n, distinct, seed, nulls=False):
     return spark.createDataFrame(data, "k string, g string, v decimal(18,2), w int")
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 7, 53, 1000])
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 7, 1000])
 @pytest.mark.parametrize("nulls", [False, True])
 def test_ntile_equals_the_window_function(spark, n, nulls):
     df = frame(spark, n, 40, n, nulls)
@@ -67,7 +67,7 @@ def brute_percentile(values, q):
     )
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 50, 777])
+@pytest.mark.parametrize("n", [1, 2, 777])
 def test_percentiles_are_exact(spark, n):
     df = frame(spark, n, 5000, n, nulls=n > 3)
     wanted = {"q1": "0.25", "q2": "0.5", "cap": "0.95"}
