@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-BUCKETS_PER_E_FOLD = 128
+BUCKETS_PER_E_FOLD = 32
 
 
 def log_bucket(value: Column) -> Column:
-    """Order-preserving bucket, about 0.8 % of the value wide. A bucket of cent amounts near ``v`` therefore
-    holds at most ``v`` distinct values (0.8 % of 100 v), however many rows there are."""
+    """Order-preserving bucket, about 3 % of the value wide. A bucket of cent amounts near ``v`` therefore holds
+    about ``3 v`` distinct values (3 % of 100 v) at most, however many rows there are, and amounts up to a
+    billion need fewer than 700 buckets."""
     x = value.cast("double")
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * BUCKETS_PER_E_FOLD).cast("int")
 
@@ -39,16 +40,22 @@ def rank_of_fraction(fraction: str | float) -> Callable[[Column], Column]:
 
 
 def order_statistics(
-    df: DataFrame, by: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]]
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    ranks: Mapping[str, Callable[[Column], Column]],
+    bucket: str | None = None,
 ) -> DataFrame:
     """For each group of ``by``: ``n`` and, for each name in ``ranks``, a struct (value, below).
 
     ``ranks[name](n)`` is the wanted 0-based rank among the group's non-NULL values in ascending order; ``value``
     is the value there and ``below`` the number of rows strictly smaller. NULL where the rank does not exist.
     ``by`` must be a closed small domain such as calendar days or labels: one row per group and rank is broadcast.
+    ``bucket`` names a column that already holds :func:`log_bucket` of the value.
     """
     by = list(by)
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), log_bucket(F.col(value)).alias("_b"))
+    coarse = F.col(bucket) if bucket else log_bucket(F.col(value))
+    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), coarse.alias("_b"))
 
     group = W.partitionBy(*[F.col(c) for c in by]) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
@@ -100,11 +107,20 @@ def order_statistics(
     )
 
 
-def reaches(value: Column, statistic: Column, rank: Column) -> Column:
-    """True where percent_rank of ``value`` is at least the fraction that ``statistic`` was taken for: values above
-    it, and the value itself when its run of equals starts at the wanted rank."""
-    threshold = statistic["value"]
-    return (value > threshold) | ((value == threshold) & (statistic["below"] >= rank))
+def thresholds(stats: DataFrame, by: Sequence[str], ranks: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """Per group and name of :func:`order_statistics`: ``<name>_value``, and ``<name>_included`` telling whether rows
+    equal to it reach the rank, that is whether their run starts there."""
+    return stats.select(
+        *by,
+        *[F.col(name)["value"].alias(f"{name}_value") for name in ranks],
+        *[(F.col(name)["below"] >= rank(F.col("n"))).alias(f"{name}_included") for name, rank in ranks.items()],
+    )
+
+
+def reaches(value: Column, name: str) -> Column:
+    """True where percent_rank of ``value`` is at least the fraction behind the threshold ``name``."""
+    threshold = F.col(f"{name}_value")
+    return (value > threshold) | ((value == threshold) & F.col(f"{name}_included"))
 
 
 def percentiles(df: DataFrame, by: Sequence[str], value: str, fractions: Mapping[str, str]) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A customer's state only changes on days with an order. The work is therefore done on order days: running sums
 and the next order day come from one window over them, and each order day then unfolds into the calendar days
-it stays valid for. The customer x day rows are produced by that last step only; they are never joined,
-shuffled or sorted.
+it stays valid for. The customer x day rows are produced by that last step only and flow to the sink without a
+join, shuffle or sort of their own; a sink partitioned by day then brings the rows of a day together.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import churn_flag, to_gold_money, zero_if_null
-from ..functions.selection import order_statistics, rank_of_fraction, reaches
+from ..functions.selection import log_bucket, order_statistics, rank_of_fraction, reaches, thresholds
 from ..session import pin
 
 SNAPSHOT_COLUMNS = [
@@ -97,7 +97,28 @@ def activity_with_totals(customers: DataFrame, dates: DataFrame, orders: DataFra
             ),
         }
     )
-    return totals.drop("last_day")
+    return _final_values(totals.drop("last_day"))
+
+
+def _final_values(totals: DataFrame) -> DataFrame:
+    """Everything that holds for as long as an order day is valid, in its final type.
+
+    Doing this before the days unfold keeps decimal arithmetic out of the customer x day rows.
+    """
+    count = F.col("cumulative_order_count").cast("int")
+    gap = F.datediff("last_order_so_far", "first_order_date").cast("decimal(10,0)") / F.nullif(
+        (count - 1).cast("decimal(10,0)"), F.lit(0).cast("decimal(10,0)")
+    )
+    value = to_gold_money(zero_if_null(F.col("cumulative_ltv")))
+    return totals.withColumns(
+        {
+            "cumulative_order_count": count,
+            "cumulative_ltv": value,
+            "ltv_bucket": log_bucket(value),
+            "avg_order_gap_days": F.when(count > 1, gap.cast("decimal(10,2)")),
+            **{name: to_gold_money(zero_if_null(F.col(name))) for name in _ACTIVITY[1:]},
+        }
+    )
 
 
 def unfold_days(totals: DataFrame) -> DataFrame:
@@ -107,37 +128,29 @@ def unfold_days(totals: DataFrame) -> DataFrame:
 
 
 def _state_on_day(days: DataFrame) -> DataFrame:
-    """Snapshot columns of rows that carry ``date_key`` and the order day valid on it."""
-    day, order_day = F.col("date_key"), F.col("order_day")
+    """Snapshot columns, and the bucket of the lifetime value, of rows that carry ``date_key`` and the order day
+    valid on it. Before that order day, and without one, everything is zero."""
+    day, order_day, no_money = F.col("date_key"), F.col("order_day"), to_gold_money(F.lit(0))
     today, started = day == order_day, day >= order_day
-    count = F.when(started, F.col("cumulative_order_count")).otherwise(F.lit(0)).cast("int")
-    last_order = F.when(started, F.col("last_order_so_far"))
-    gap = F.datediff(last_order, F.col("first_order_date")).cast("decimal(10,0)") / F.nullif(
-        (count - 1).cast("decimal(10,0)"), F.lit(0).cast("decimal(10,0)")
-    )
     return days.select(
         "user_id",
         "date_key",
         "is_loyalty",
         F.when(today, F.col("daily_order_count")).otherwise(F.lit(0)).cast("bigint").alias("daily_order_count"),
-        *[
-            to_gold_money(F.when(today, zero_if_null(F.col(name))).otherwise(F.lit(0))).alias(name)
-            for name in _ACTIVITY[1:]
-        ],
-        count.alias("cumulative_order_count"),
-        to_gold_money(F.when(started, zero_if_null(F.col("cumulative_ltv"))).otherwise(F.lit(0))).alias(
-            "cumulative_ltv"
-        ),
-        F.datediff(day, last_order).alias("days_since_last_order"),
-        F.when(count > 1, gap.cast("decimal(10,2)")).alias("avg_order_gap_days"),
+        *[F.when(today, F.col(name)).otherwise(no_money).alias(name) for name in _ACTIVITY[1:]],
+        F.when(started, F.col("cumulative_order_count")).otherwise(F.lit(0)).alias("cumulative_order_count"),
+        F.when(started, F.col("cumulative_ltv")).otherwise(no_money).alias("cumulative_ltv"),
+        F.when(started, F.datediff(day, "last_order_so_far")).alias("days_since_last_order"),
+        F.when(started, F.col("avg_order_gap_days")).alias("avg_order_gap_days"),
+        F.when(started, F.col("ltv_bucket")).otherwise(log_bucket(F.lit(0))).alias("ltv_bucket"),
     )
 
 
 def clv_cuts(days: DataFrame, high: str = "0.8", medium: str = "0.2") -> DataFrame:
-    """Per day, the lifetime values at which percent_rank reaches the two bounds."""
-    return order_statistics(
-        days, ["date_key"], "cumulative_ltv", {"high": rank_of_fraction(high), "medium": rank_of_fraction(medium)}
-    )
+    """Per day, the lifetime values at which percent_rank reaches the two bounds; ``days`` carries ``ltv_bucket``."""
+    ranks = {"high": rank_of_fraction(high), "medium": rank_of_fraction(medium)}
+    stats = order_statistics(days, ["date_key"], "cumulative_ltv", ranks, bucket="ltv_bucket")
+    return thresholds(stats, ["date_key"], ranks)
 
 
 def with_clv_segment(days: DataFrame, high: str = "0.8", medium: str = "0.2") -> DataFrame:
@@ -147,16 +160,11 @@ def with_clv_segment(days: DataFrame, high: str = "0.8", medium: str = "0.2") ->
     where they are, so no day is ever sorted as a whole. The cuts are one row per calendar day.
     """
     cuts = clv_cuts(days, high, medium).withColumnRenamed("date_key", "cut_day")
-    value, n = F.col("cumulative_ltv"), F.col("n")
-    segment = (
-        F.when(reaches(value, F.col("high"), rank_of_fraction(high)(n)), "High")
-        .when(reaches(value, F.col("medium"), rank_of_fraction(medium)(n)), "Medium")
-        .otherwise("Low")
-    )
+    value = F.col("cumulative_ltv")
+    segment = F.when(reaches(value, "high"), "High").when(reaches(value, "medium"), "Medium").otherwise("Low")
     return (
         days.join(F.broadcast(cuts), F.col("date_key") == F.col("cut_day"), "left")
-        .withColumn("clv_segment", segment)
-        .drop("cut_day", "n", "high", "medium")
+        .select(*[c for c in days.columns if c != "ltv_bucket"], segment.alias("clv_segment"))
     )
 
 
@@ -206,4 +214,4 @@ def snapshot_as_of(customers: DataFrame, dates: DataFrame, orders: DataFrame, da
         ],
     )
     days = people.join(totals, F.col("user_id") == F.col("buyer"), "left").withColumn("date_key", as_of)
-    return with_churn_flag(with_clv_segment(pin(_state_on_day(days)))).select(*SNAPSHOT_COLUMNS)
+    return with_churn_flag(with_clv_segment(pin(_state_on_day(_final_values(days))))).select(*SNAPSHOT_COLUMNS)
