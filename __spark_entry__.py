@@ -37,6 +37,15 @@ from tablespoon.plans import Warehouse
 from tablespoon.session import scratch_dir
 from tablespoon.sources import LANDING_SCHEMAS, Layout, load_landing, read_table, write_table
 
+_TRAINING_DATA = ("tablespoon.llm", "corpus_pipeline")
+try:
+    import corpus_pipeline
+    from tablespoon.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith(_TRAINING_DATA):
+        raise
+    corpus_pipeline = training_data = None
+
 INGESTED_AT = "2024-03-01T00:00:00+00:00"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
@@ -548,8 +557,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Warehouse, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(warehouse(spark, sf_dir), sf_dir)
 
-    return {key: bind(build) for key, build in _QUERIES.items()}
+    found = {key: bind(build) for key, build in _QUERIES.items()}
+    if training_data:
+        found |= training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle_text.STATEMENTS)
+    return oracle_text.STATEMENTS | (training_data.ORACLE if training_data else {})

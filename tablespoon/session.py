@@ -1,8 +1,9 @@
-"""Session factory and the shared folder used to cut lineage."""
+"""Session factory and the shared folder for intermediates."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+_scratch: dict[str, list[str]] = {}
+
 
 def get_spark(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """Return the running session, or start one. On a cluster leave ``master`` to spark-submit."""
@@ -26,19 +29,43 @@ def get_spark(app_name: str, master: str | None = None, conf: dict[str, str] | N
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``; a temp folder only where that is unset."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder of the warehouse where that is unset."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tablespoon-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(given or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate")
     return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; :func:`release` removes all of a session's."""
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    paths = _scratch.setdefault(spark.sparkContext.applicationId, [])
+    if not paths:
+        atexit.register(release, spark)
+    paths.append(path)
+    return path
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back.
+
+    Later passes read the same rows and only their columns, the optimizer knows the size, and a lost executor costs
+    one read. The table lives until :func:`release` or the end of the driver.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that later passes read the same rows and survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """:func:`stored` under a common name, for frames without a name of their own."""
+    return stored(df, "pin")
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the session's scratch tables; to be called when nothing reads them any more."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, []) if spark.sparkContext._jsc else []
+    with contextlib.suppress(Exception):  # the JVM may have ended before this
+        for path in map(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

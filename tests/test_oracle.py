@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.queries(), entry.oracle_text.STATEMENTS
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def con():
 
 
 def test_every_statement_belongs_to_a_query():
-    assert set(QUERIES) - set(ORACLE) == {"g3_rfm_sample"} and set(ORACLE) <= set(QUERIES)
+    assert set(entry._QUERIES) - set(ORACLE) == {"g3_rfm_sample"} and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
