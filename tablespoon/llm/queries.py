@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, near_dup
+from tablespoon.llm import decontaminate, near_dup, token_store
+from tablespoon.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Path of the production vocabulary, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path, vocabulary())
+    return token_store.read_tokens(spark, path)
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_copies(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -34,6 +48,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": token_files,
     "op7_near_copies": near_copies,
     "op10_decontamination": decontamination,
 }
