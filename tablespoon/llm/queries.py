@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, near_dup, token_store
+from tablespoon.llm import decontaminate, line_rules, near_dup, token_store
 from tablespoon.session import scratch_dir
 
 
@@ -28,6 +28,11 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path)
 
 
+def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judge_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "rules.*").drop("clean_text")
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_copies(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -49,6 +54,7 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
+    "op6_line_cleaning": line_cleaning,
     "op7_near_copies": near_copies,
     "op10_decontamination": decontamination,
 }
