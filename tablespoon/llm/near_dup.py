@@ -6,9 +6,10 @@ all shingles go to bin i - coordinates, so every bin fills whatever the size of
 chance of their Jaccard similarity, and the number of agreeing bins is concentrated as if the bins were independent.
 
 Plan: equal shingle sets become one class (one representative each). Only representatives are sketched and banded. In a
-bucket every member is checked against the bucket's smallest member first; what that links forms components. Then all
-pairs of a bucket whose members lie in different components are checked, so no pair that shares a bucket is left
-unknown, while a large group of near copies needs about as many checks as it has members. Checks use full shingle sets.
+bucket every member is checked against the bucket's leader, first the member most in the middle, then any other; what that
+links forms components. Components that still share a bucket are then compared member by member inside blocks, so no pair
+that shares a bucket is left unknown, while a large group of near copies needs about as many checks as it has members, and
+its pairs are never rows. Checks use full shingle sets.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablespoon.llm.components import connected_components
@@ -25,6 +26,7 @@ from tablespoon.llm.words import NON_SPACE, blocks, hashed_words, mix64
 from tablespoon.session import stored
 
 BANDS, ROWS = 45, 6  # a pair at similarity 0.8 shares no bucket with a chance of (1 - 0.8**6)**45 = 1e-6
+BLOCK_SHINGLES = 1 << 16  # shingles of a block when components are compared
 _U = np.uint64
 _TURN = _U(0xD6E8FEB86659FD93)
 
@@ -223,30 +225,101 @@ def near_copies(
 def _links(banded: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified pairs that connect all representatives which share a bucket and are similar enough."""
     member = banded.select("doc", "size", F.explode("buckets").alias("bucket"))
-    shared = member.groupBy("bucket").agg(
-        F.min(F.struct("doc", "size")).alias("head"), F.max("doc").alias("last")
-    ).where("head.doc < last")
-    shared = stored(shared.select("bucket", F.col("head.doc").alias("a"), F.col("head.size").alias("size_a")), "buckets")
-    member = stored(member.join(shared.select("bucket"), "bucket", "left_semi"), "members")
-    involved = stored(member.select("doc").distinct(), "involved")
-    sets = stored(_sets(reps.join(involved, "doc", "left_semi"), "body", "doc", words).dropDuplicates(["doc"]), "sets")
-    pairs = member.select(F.col("doc").alias("b"), F.col("size").alias("size_b"), "bucket").join(shared, "bucket")
-    tried = stored(_candidates(pairs.where("a <> b"), percent), "tried")
-    stars = stored(_verified(tried, sets, percent), "stars")
-    parts = stored(connected_components(stars), "parts").withColumnRenamed("node", "doc")
-    # a bucket's members by component; only pairs of different components are still open
-    grouped = member.join(parts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    grouped = stored(grouped, "grouped")
-    per = grouped.groupBy("bucket", "component").agg(F.lit(1).alias("one"))
-    open_ = per.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    per = stored(per.join(open_, "bucket", "left_semi").select("bucket", "component"), "open")
-    across = per.withColumnRenamed("component", "ca").join(per.withColumnRenamed("component", "cb"), "bucket")
-    across = across.where("ca < cb")
-    left = grouped.select("bucket", F.col("component").alias("ca"), F.col("doc").alias("a"), F.col("size").alias("size_a"))
-    right = grouped.select("bucket", F.col("component").alias("cb"), F.col("doc").alias("b"), F.col("size").alias("size_b"))
-    rest = _candidates(across.join(left, ["bucket", "ca"]).join(right, ["bucket", "cb"]), percent)
-    rest = rest.join(tried, ["a", "b"], "left_anti")
-    return stars.unionByName(_verified(rest, sets, percent))
+    shared = member.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("many"))
+    shared = stored(shared.where("first < last").select("bucket", "many"), "buckets")
+    member = stored(member.join(shared, "bucket"), "members")
+    # documents in the middle of a group lie in its largest buckets
+    involved = stored(member.groupBy("doc").agg(F.sum("many").alias("weight")), "involved")
+    sets = _sets(reps.join(involved.select("doc"), "doc", "left_semi"), "body", "doc", words)
+    sets = stored(sets.dropDuplicates(["doc"]), "sets")
+    member = stored(member.join(involved, "doc").select("bucket", "doc", "size", "weight"), "members")
+    links = None
+    parts = None
+    for order in (F.col("weight"), F.xxhash64("bucket", "doc")):
+        placed = _placed(member, parts)
+        pairs = _candidates(_with_leaders(placed, order), percent)
+        found = stored(_verified(stored(pairs, "tried"), sets, percent), "linked")
+        links = found if links is None else links.unionByName(found)
+        parts = stored(connected_components(links), "parts").withColumnRenamed("node", "doc")
+    return links.unionByName(_between_components(stored(_placed(member, parts), "placed"), sets, percent))
+
+
+def _placed(member: DataFrame, parts: DataFrame | None) -> DataFrame:
+    if parts is None:
+        return member.withColumn("component", F.col("doc"))
+    return member.join(parts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+
+
+def _with_leaders(placed: DataFrame, order: Column) -> DataFrame:
+    """Every member of a bucket with the bucket's leader, the one of largest ``order``, where these are not linked yet."""
+    rank = F.struct(order.alias("rank"), "doc", "size", "component")
+    leader = placed.groupBy("bucket").agg(F.max(rank).alias("l"))
+    leader = leader.select("bucket", F.col("l.doc").alias("a"), F.col("l.size").alias("size_a"), F.col("l.component").alias("its"))
+    pairs = placed.join(leader, "bucket").where(F.col("component") != F.col("its"))
+    return pairs.select("a", "size_a", F.col("doc").alias("b"), F.col("size").alias("size_b"))
+
+
+def _between_components(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket: all members of one against all of the other, without emitting pairs.
+
+    The larger component of a pair is the host, the members of the other are guests. Hosts and guests are dealt by hash
+    into blocks of bounded shingle counts; a row with two blocks yields at most one link for each guest.
+    """
+    per = placed.groupBy("bucket", "component").agg(F.lit(1).alias("one"))
+    several = per.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    per = stored(per.join(several, "bucket", "left_semi").select("bucket", "component"), "open")
+    whole = placed.groupBy("doc", "size", "component").agg(F.lit(1).alias("one"))
+    weight = stored(whole.groupBy("component").agg(F.sum("size").alias("weight")), "weights")
+    apart = per.withColumnRenamed("component", "ca").join(per.withColumnRenamed("component", "cb"), "bucket")
+    apart = apart.where("ca < cb").select("ca", "cb").distinct()
+    a = weight.select(F.col("component").alias("ca"), F.col("weight").alias("wa"))
+    b = weight.select(F.col("component").alias("cb"), F.col("weight").alias("wb"))
+    larger = F.col("wa") >= F.col("wb")
+    apart = apart.join(a, "ca").join(b, "cb").select(
+        F.when(larger, F.col("ca")).otherwise(F.col("cb")).alias("host"),
+        F.when(larger, F.col("cb")).otherwise(F.col("ca")).alias("guest"),
+        F.greatest("wa", "wb").alias("host_weight"),
+        F.least("wa", "wb").alias("guest_weight"),
+    )
+    apart = stored(apart, "apart")
+    totals = apart.groupBy("host").agg(F.max("host_weight").alias("w"), F.sum("guest_weight").alias("g"))
+    totals = stored(totals.select("host", *((F.floor(F.col(c) / BLOCK_SHINGLES) + 1).alias(c) for c in ("w", "g"))), "totals")
+    docs = whole.select("doc", "component").join(sets, "doc")
+    block = lambda c: F.pmod(F.xxhash64("doc"), F.col(c)).alias("block")
+    content = F.collect_list(F.struct("doc", "shingles"))
+    hosts = docs.join(totals, docs["component"] == totals["host"]).groupBy("host", block("w")).agg(content.alias("hosts"))
+    guests = docs.join(apart.select("host", F.col("guest").alias("component")), "component").join(totals, "host")
+    guests = guests.groupBy("host", block("g")).agg(content.alias("guests"))
+    rows = hosts.drop("block").join(guests.drop("block"), "host").select("hosts", "guests")
+    return rows.mapInArrow(_compare_blocks(percent), "a long, b long")
+
+
+def _compare_blocks(percent: int):
+    def members(column: pa.Array, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = column.slice(at, 1).flatten()
+        shingles = found.field(1)
+        bounds = shingles.offsets.to_numpy()
+        return found.field(0).to_numpy(), shingles.values.to_numpy()[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                names, values, bounds = members(batch.column(0), at)
+                others, inner, inner_bounds = members(batch.column(1), at)
+                size = np.diff(bounds)
+                a, b = [], []
+                for i, other in enumerate(others):
+                    mine = np.sort(inner[inner_bounds[i] : inner_bounds[i + 1]])
+                    slot = np.searchsorted(mine, values)
+                    slot[slot == len(mine)] = 0
+                    both = np.add.reduceat((mine[slot] == values).astype(np.int64), bounds[:-1])
+                    near = np.flatnonzero(both * (100 + percent) >= (size + len(mine)) * percent)
+                    if len(near):
+                        a.append(min(int(names[near[0]]), int(other)))
+                        b.append(max(int(names[near[0]]), int(other)))
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
