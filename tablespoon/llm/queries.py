@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, line_rules, near_dup, token_store
+from tablespoon.llm import decontaminate, line_rules, mixing, near_dup, pii, quality_rank, secret_scan, token_store
 from tablespoon.session import scratch_dir
 
 
@@ -28,6 +28,22 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_tokens(spark, path)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rank.rank_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.judge_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "rules.*").drop("clean_text")
@@ -54,6 +70,10 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
+    "op2_personal_data": personal_data,
+    "op3_secrets": secrets,
+    "op4_source_mix": source_mix,
+    "op5_quality_scores": quality_scores,
     "op6_line_cleaning": line_cleaning,
     "op7_near_copies": near_copies,
     "op10_decontamination": decontamination,
