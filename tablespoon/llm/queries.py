@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, line_rules, mixing, near_dup, pii, quality_rank, secret_scan, token_store
+from tablespoon.llm import decontaminate, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, token_store, url_filter
 from tablespoon.session import scratch_dir
 
 
@@ -53,6 +53,22 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_copies(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+#: The rules of the url filter, and hosts that it blocks where no rule fits.
+URL_RULES = (
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
+)
+BLOCKED_HOSTS = (
+    "ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net",
+    "free-bets.example.net", "spam-farm.example.org",
+)
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = [url_filter.Entry(text, verdict) for text, verdict in URL_RULES]
+    entries += [url_filter.Entry(f"{host}/", "block", rule=False) for host in BLOCKED_HOSTS]
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), entries)
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.verbatim_matches(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -76,6 +92,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_scores": quality_scores,
     "op6_line_cleaning": line_cleaning,
     "op7_near_copies": near_copies,
+    "op9_url_verdicts": url_verdicts,
     "op10_decontamination": decontamination,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_line_cleaning": oracle.LINE_CLEANING,
+    "op9_url_verdicts": oracle.url_verdicts(URL_RULES, BLOCKED_HOSTS),
+    "op10_decontamination": oracle.DECONTAMINATION,
+}
