@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, token_store, url_filter
+from tablespoon.llm import decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, token_store, url_filter
 from tablespoon.session import scratch_dir
 
 
@@ -53,6 +53,13 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_copies(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    files = docs.select(licenses.digit_path("source", "lang", "doc_id").alias("path"), "text")
+    found = licenses.scan_licences(files)
+    return found.select(F.regexp_extract("path", r"([^/]*)$", 1).cast("long").alias("doc_id"), *found.columns)
+
+
 #: The rules of the url filter, and hosts that it blocks where no rule fits.
 URL_RULES = (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_scores": quality_scores,
     "op6_line_cleaning": line_cleaning,
     "op7_near_copies": near_copies,
+    "op8_license_scan": license_scan,
     "op9_url_verdicts": url_verdicts,
     "op10_decontamination": decontamination,
 }
