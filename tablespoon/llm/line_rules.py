@@ -122,7 +122,9 @@ def judge_lines(docs: DataFrame, text: str = "text", into: str = "rules") -> Dat
 def kept_documents(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """Rows that stay, all columns, their text without the failing lines (and ``n_chars`` counted anew where there is one)."""
     packed = docs.select(F.struct("*").alias("__doc"), F.col(text).alias("__text"))
-    judged = judge_lines(packed, "__text", "__rules").where("__rules.kept")
+    judged = judge_lines(packed, "__text", "__rules")
     clean = F.col("__rules.clean_text")
     changes = {text: clean} | ({n_chars: F.length(clean).cast(docs.schema[n_chars].dataType)} if n_chars in docs.columns else {})
-    return judged.select(*(changes.get(c, F.col(f"__doc.`{c}`")).alias(c) for c in docs.columns))
+    row = F.struct(*(changes.get(c, F.col(f"__doc.`{c}`")).alias(c) for c in docs.columns))
+    # a filter would be pushed below the steps above and repeat them all for its own sake; an exploded array is not
+    return judged.select(F.explode(F.when(F.col("__rules.kept"), F.array(row))).alias("row")).select("row.*")
