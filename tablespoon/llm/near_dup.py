@@ -26,6 +26,7 @@ from tablespoon.llm.words import NON_SPACE, blocks, hashed_words, mix64
 from tablespoon.session import stored
 
 BANDS, ROWS = 45, 6  # a pair at similarity 0.8 shares no bucket with a chance of (1 - 0.8**6)**45 = 1e-6
+FILTER_BITS = 1 << 23
 BLOCK_SHINGLES = 1 << 16  # shingles of a block when components are compared
 _U = np.uint64
 _TURN = _U(0xD6E8FEB86659FD93)
@@ -103,8 +104,8 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
 
 
-def with_digest(docs: DataFrame, text: str, keep: list[str], n: int) -> DataFrame:
-    """``keep`` with ``n_shingles`` and ``digest`` (null for a text without words)."""
+def with_buckets(docs: DataFrame, text: str, key: str, n: int, bands: int, rows: int, least: int) -> DataFrame:
+    """``key`` with ``n_shingles``, ``digest`` (null for a text without words) and the buckets of sets of ``least`` or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
@@ -112,11 +113,22 @@ def with_digest(docs: DataFrame, text: str, keep: list[str], n: int) -> DataFram
             value, bounds = shingle_sets(words.hashes, words.rows, n)
             size = np.diff(bounds)
             digests = [d if k else None for d, k in zip(_digests(value, bounds), size)]
-            columns = [block.rows.column(block.rows.schema.get_field_index(c)) for c in keep]
-            columns += [pa.array(size, pa.int64()), pa.array(digests, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "n_shingles", "digest"])
+            take = np.flatnonzero(size >= least)
+            keys = np.zeros((0, bands), dtype=_U)
+            if len(take):
+                keys = band_keys(np.stack([sketch(value[bounds[i] : bounds[i + 1]], bands * rows) for i in take]), bands, rows)
+            ends = np.concatenate([[0], np.cumsum(size >= least)]) * bands
+            yield pa.RecordBatch.from_arrays(
+                [
+                    block.rows.column(block.rows.schema.get_field_index(key)),
+                    pa.array(size, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    _lists(keys.ravel(), ends),
+                ],
+                [key, "n_shingles", "digest", "buckets"],
+            )
 
-    return _mapped(docs, text, keep, run, "n_shingles long, digest binary")
+    return _mapped(docs, text, [key], run, "n_shingles long, digest binary, buckets array<long>")
 
 
 def _mapped(docs: DataFrame, text: str, keep: list[str], run, added: str) -> DataFrame:
@@ -125,40 +137,45 @@ def _mapped(docs: DataFrame, text: str, keep: list[str], run, added: str) -> Dat
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
-def _banded(docs: DataFrame, text: str, key: str, n: int, bands: int, rows: int, least: int) -> DataFrame:
-    """(key, size, buckets) of documents with at least ``least`` shingles."""
+def _filter_bits(keys: DataFrame, key: str) -> np.ndarray:
+    """A Bloom filter of fixed size with two bits for each key; what it lets through is checked by a join."""
+    bits = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(FILTER_BITS)) for i in (1, 2)]
+    place = keys.select(F.explode(F.array(*bits)).alias("bit"))
+    byte = place.groupBy(F.floor(F.col("bit") / 8).alias("byte")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(bit % 8 AS int))")).alias("bits")
+    )
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in byte.toLocalIterator():
+        out[row.byte] = row.bits
+    return out
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> DataFrame:
+    """(key, shingles) of the documents in ``wanted``; texts of others are passed over where they are read."""
+    spark = docs.sparkSession
+    bits = spark.sparkContext.broadcast(_filter_bits(wanted, key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            words = hashed_words(block.data, block.bounds, NON_SPACE)
-            value, bounds = shingle_sets(words.hashes, words.rows, n)
-            take = np.flatnonzero(np.diff(bounds) >= least)
-            if len(take):
-                made = np.stack([sketch(value[bounds[i] : bounds[i + 1]], bands * rows) for i in take])
-                keys = band_keys(made, bands, rows)
+        known = bits.value
+        for batch in batches:
+            at = [batch.column(i).to_numpy() for i in (1, 2)]
+            hit = [(known[x >> 3] >> (x & 7).astype(np.uint8)) & 1 for x in at]
+            take = np.flatnonzero(hit[0] & hit[1])
+            if not len(take):
+                continue
+            for block in blocks(iter([batch.take(pa.array(take))]), text):
+                words = hashed_words(block.data, block.bounds, NON_SPACE)
+                value, bounds = shingle_sets(words.hashes, words.rows, n)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        block.rows.column(block.rows.schema.get_field_index(key)).take(pa.array(take)),
-                        pa.array(np.diff(bounds)[take], pa.int64()),
-                        _lists(keys.ravel(), np.arange(len(take) + 1) * bands),
-                    ],
-                    [key, "size", "buckets"],
+                    [block.rows.column(0), pa.array(_digests(value, bounds), pa.binary()), _lists(value, bounds)],
+                    [key, "digest", "shingles"],
                 )
 
+    bit = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(FILTER_BITS)).alias(f"bit{i}") for i in (1, 2)]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {fields[key]}, size long, buckets array<long>")
-
-
-def _sets(docs: DataFrame, text: str, key: str, n: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            words = hashed_words(block.data, block.bounds, NON_SPACE)
-            value, bounds = shingle_sets(words.hashes, words.rows, n)
-            yield pa.RecordBatch.from_arrays(
-                [block.rows.column(block.rows.schema.get_field_index(key)), _lists(value, bounds)], [key, "shingles"]
-            )
-
-    return _mapped(docs, text, [key], run, "shingles array<long>")
+    rows = docs.select(key, *bit, text).where(F.col(key).isNotNull())
+    made = rows.mapInArrow(run, f"`{key}` {fields[key]}, digest binary, shingles array<long>").join(wanted, key, "left_semi")
+    return made.groupBy(key).agg(F.min_by("shingles", "digest").alias("shingles"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -196,23 +213,20 @@ def near_copies(
     ``component_id`` is the smallest key that links reach. A row without a key gets no component and is not kept; rows
     that share a key are one document for the links, and each gets its class by its own text.
     """
-    seen = stored(with_digest(docs, text, [key], words), "digests").withColumnRenamed(key, "doc")
-    classes = seen.where("digest IS NOT NULL AND doc IS NOT NULL").groupBy("digest").agg(
-        F.min("doc").alias("rep"), F.any_value("n_shingles").alias("size")
-    )
-    classes = stored(classes, "classes")
     # a set of fewer than ``least`` shingles can only be linked with an equal one
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
-    reps = docs.select(F.col(key).alias("doc"), F.col(text).alias("body")).join(
-        classes.where(F.col("size") >= least).select(F.col("rep").alias("doc")), "doc", "left_semi"
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))
+    seen = stored(with_buckets(texts, "body", "doc", words, bands, rows, least), "digests")
+    classes = seen.where("digest IS NOT NULL AND doc IS NOT NULL").groupBy("digest").agg(
+        F.min("doc").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("buckets").alias("buckets")
     )
-    banded = stored(_banded(reps, "body", "doc", words, bands, rows, least), "bands")
-    links = _links(banded, reps, words, percent)
+    classes = stored(classes, "classes")
+    links = _links(classes, texts, words, percent)
     parts = connected_components(links)
     by_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )
-    out = seen.join(by_class, "digest", "left")
+    out = seen.select("doc", "n_shingles", "digest").join(by_class, "digest", "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return out.select(
         F.col("doc").alias(key),
@@ -222,16 +236,15 @@ def near_copies(
     )
 
 
-def _links(banded: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Verified pairs that connect all representatives which share a bucket and are similar enough."""
-    member = banded.select("doc", "size", F.explode("buckets").alias("bucket"))
+    member = classes.select(F.col("rep").alias("doc"), "size", F.explode("buckets").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("many"))
     shared = stored(shared.where("first < last").select("bucket", "many"), "buckets")
     member = stored(member.join(shared, "bucket"), "members")
     # documents in the middle of a group lie in its largest buckets
     involved = stored(member.groupBy("doc").agg(F.sum("many").alias("weight")), "involved")
-    sets = _sets(reps.join(involved.select("doc"), "doc", "left_semi"), "body", "doc", words)
-    sets = stored(sets.dropDuplicates(["doc"]), "sets")
+    sets = stored(_sets(texts, involved.select("doc"), "body", "doc", words), "sets")
     member = stored(member.join(involved, "doc").select("bucket", "doc", "size", "weight"), "members")
     links = None
     parts = None
@@ -260,63 +273,72 @@ def _with_leaders(placed: DataFrame, order: Column) -> DataFrame:
 
 
 def _between_components(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that share a bucket: all members of one against all of the other, without emitting pairs.
+    """Links between components that share a bucket, all members of one against all of the other, without pair rows.
 
-    The larger component of a pair is the host, the members of the other are guests. Hosts and guests are dealt by hash
-    into blocks of bounded shingle counts; a row with two blocks yields at most one link for each guest.
+    The largest component of a bucket is its hub, the others are guests of the hub. So two components that share a bucket
+    are hub and guest, or guests of one hub. Members of hub and guests are dealt by hash into blocks of bounded shingle
+    counts; a row has two blocks and yields no more links than connect what is near in them.
     """
     per = placed.groupBy("bucket", "component").agg(F.lit(1).alias("one"))
     several = per.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    per = stored(per.join(several, "bucket", "left_semi").select("bucket", "component"), "open")
-    whole = placed.groupBy("doc", "size", "component").agg(F.lit(1).alias("one"))
-    weight = stored(whole.groupBy("component").agg(F.sum("size").alias("weight")), "weights")
-    apart = per.withColumnRenamed("component", "ca").join(per.withColumnRenamed("component", "cb"), "bucket")
-    apart = apart.where("ca < cb").select("ca", "cb").distinct()
-    a = weight.select(F.col("component").alias("ca"), F.col("weight").alias("wa"))
-    b = weight.select(F.col("component").alias("cb"), F.col("weight").alias("wb"))
-    larger = F.col("wa") >= F.col("wb")
-    apart = apart.join(a, "ca").join(b, "cb").select(
-        F.when(larger, F.col("ca")).otherwise(F.col("cb")).alias("host"),
-        F.when(larger, F.col("cb")).otherwise(F.col("ca")).alias("guest"),
-        F.greatest("wa", "wb").alias("host_weight"),
-        F.least("wa", "wb").alias("guest_weight"),
-    )
-    apart = stored(apart, "apart")
-    totals = apart.groupBy("host").agg(F.max("host_weight").alias("w"), F.sum("guest_weight").alias("g"))
-    totals = stored(totals.select("host", *((F.floor(F.col(c) / BLOCK_SHINGLES) + 1).alias(c) for c in ("w", "g"))), "totals")
-    docs = whole.select("doc", "component").join(sets, "doc")
+    whole = stored(placed.groupBy("doc", "size", "component").agg(F.lit(1).alias("one")).drop("one"), "whole")
+    weight = whole.groupBy("component").agg(F.sum("size").alias("weight"))
+    per = per.join(several, "bucket", "left_semi").join(weight, "component").select("bucket", "component", "weight")
+    per = stored(per, "open")
+    hub = per.groupBy("bucket").agg(F.max(F.struct("weight", "component")).alias("h"))
+    hub = hub.select("bucket", F.col("h.component").alias("hub"), F.col("h.weight").alias("hub_weight"))
+    visits = per.join(hub, "bucket").where("component <> hub").select("hub", "hub_weight", "component", "weight").distinct()
+    visits = stored(visits, "visits")
+    parts = lambda c: F.floor(F.col(c) / BLOCK_SHINGLES) + 1
+    totals = visits.groupBy("hub").agg(F.max("hub_weight").alias("h"), F.sum("weight").alias("g"))
+    totals = stored(totals.select("hub", parts("h").alias("h"), parts("g").alias("g")), "totals")
     block = lambda c: F.pmod(F.xxhash64("doc"), F.col(c)).alias("block")
-    content = F.collect_list(F.struct("doc", "shingles"))
-    hosts = docs.join(totals, docs["component"] == totals["host"]).groupBy("host", block("w")).agg(content.alias("hosts"))
-    guests = docs.join(apart.select("host", F.col("guest").alias("component")), "component").join(totals, "host")
-    guests = guests.groupBy("host", block("g")).agg(content.alias("guests"))
-    rows = hosts.drop("block").join(guests.drop("block"), "host").select("hosts", "guests")
+    content = F.collect_list(F.struct("doc", "component", "shingles")).alias("members")
+    at_home = totals.withColumn("component", F.col("hub")).join(whole, "component").select("hub", "doc", "component", block("h"))
+    guests = visits.select("hub", "component").join(totals, "hub").join(whole, "component").select("hub", "doc", "component", block("g"))
+    hosts = at_home.join(sets, "doc").groupBy("hub", "block").agg(content)
+    guests = stored(guests.join(sets, "doc").groupBy("hub", "block").agg(content), "guests")
+    left = hosts.select("hub", F.lit(-1).cast("long").alias("lb"), F.col("members").alias("left")).unionByName(
+        guests.select("hub", F.col("block").alias("lb"), F.col("members").alias("left"))
+    )
+    right = guests.select("hub", F.col("block").alias("rb"), F.col("members").alias("right"))
+    rows = left.join(right, "hub").where("lb <= rb").select("left", "right")
     return rows.mapInArrow(_compare_blocks(percent), "a long, b long")
 
 
 def _compare_blocks(percent: int):
-    def members(column: pa.Array, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def members(column: pa.Array, at: int):
         found = column.slice(at, 1).flatten()
-        shingles = found.field(1)
+        shingles = found.field(2)
         bounds = shingles.offsets.to_numpy()
-        return found.field(0).to_numpy(), shingles.values.to_numpy()[bounds[0] : bounds[-1]], bounds - bounds[0]
+        values = shingles.values.to_numpy()[bounds[0] : bounds[-1]]
+        return found.field(0).to_pylist(), found.field(1).to_pylist(), values, bounds - bounds[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                names, values, bounds = members(batch.column(0), at)
-                others, inner, inner_bounds = members(batch.column(1), at)
+                names, groups, values, bounds = members(batch.column(0), at)
+                others, other_groups, inner, inner_bounds = members(batch.column(1), at)
                 size = np.diff(bounds)
+                root = {g: g for g in [*groups, *other_groups]}
+
+                def find(g):
+                    while root[g] != g:
+                        root[g] = g = root[root[g]]
+                    return g
+
                 a, b = [], []
                 for i, other in enumerate(others):
                     mine = np.sort(inner[inner_bounds[i] : inner_bounds[i + 1]])
                     slot = np.searchsorted(mine, values)
                     slot[slot == len(mine)] = 0
                     both = np.add.reduceat((mine[slot] == values).astype(np.int64), bounds[:-1])
-                    near = np.flatnonzero(both * (100 + percent) >= (size + len(mine)) * percent)
-                    if len(near):
-                        a.append(min(int(names[near[0]]), int(other)))
-                        b.append(max(int(names[near[0]]), int(other)))
+                    for j in np.flatnonzero(both * (100 + percent) >= (size + len(mine)) * percent).tolist():
+                        x, y = find(groups[j]), find(other_groups[i])
+                        if x != y:
+                            root[x] = y
+                            a.append(min(names[j], other))
+                            b.append(max(names[j], other))
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
