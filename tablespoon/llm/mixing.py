@@ -10,7 +10,7 @@ within about its shortest document of the target. Which documents of a size get
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 SHARE = 1.5  # of all words
 CAP = 2.0  # copies of a document, and words of a source as a multiple
 ROUNDS = 60
-TOLERANCE = 1e-7
+TOLERANCE = 1e-5  # of a target
 _BUCKETS = 4096
 _EXACT = "decimal(38,6)"  # sums that do not depend on the order of rows
 
@@ -105,10 +105,10 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
 
 
 def _whole_copies(cap: float):
-    def run(cells: pd.DataFrame) -> pd.DataFrame:
+    def run(cells: pa.Table) -> pa.Table:
         """One source's sizes, at most as many rows as there are different sizes."""
-        cells = cells.sort_values("size", ascending=False)
-        size, n, rate = (cells[c].to_numpy(dtype=float) for c in ("size", "n", "rate"))
+        cells = cells.sort_by([("size", "descending")])
+        size, n, rate = (cells[c].to_numpy().astype(float) for c in ("size", "n", "rate"))
         low = np.minimum(np.floor(rate), np.floor(cap))
         extra, carry = np.zeros(len(cells), dtype=np.int64), 0.0
         for i in range(len(cells)):
@@ -117,7 +117,8 @@ def _whole_copies(cap: float):
                 room = n[i] if low[i] < np.floor(cap) else 0
                 extra[i] = int(min(max(np.floor(want / size[i] + 0.5), 0), room))
                 carry = want - extra[i] * size[i]
-        return cells.assign(low=low.astype(np.int64), extra=extra)[["source", "size", "n", "low", "extra"]]
+        made = [pa.array(low.astype(np.int64)), pa.array(extra)]
+        return pa.Table.from_arrays([*(cells[c] for c in ("source", "size", "n")), *made], ["source", "size", "n", "low", "extra"])
 
     return run
 
@@ -139,7 +140,7 @@ def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
         "c.source", "c.size", "c.n", rate.alias("rate")
     )
     kind = documents.schema["source"].dataType.simpleString()
-    whole = rates.groupBy("source").applyInPandas(
+    whole = rates.groupBy("source").applyInArrow(
         _whole_copies(cap), f"source {kind}, size long, n long, low long, extra long"
     )
     whole = stored(whole, "copies")
