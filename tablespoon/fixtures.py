@@ -114,3 +114,11 @@ def landing_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper(holiday.isNotNull().cast("string")).alias("is_holiday"),
         holiday.alias("holiday_name"),
     )
+
+
+#: Columns of the customer x day snapshot in the order in which a row's digest reads them.
+SNAPSHOT_TEXT = (
+    "user_id", "date_key", "is_loyalty", "daily_order_count", "daily_gross_revenue", "daily_net_revenue",
+    "daily_discount_amount", "cumulative_order_count", "cumulative_ltv", "days_since_last_order", "avg_order_gap_days",
+    "clv_segment", "churn_risk_flag",
+)

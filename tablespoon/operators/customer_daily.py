@@ -200,18 +200,23 @@ def snapshot_as_of(customers: DataFrame, dates: DataFrame, orders: DataFrame, da
     """
     as_of = F.lit(day).cast("date") if day else last_day(dates).scalar()
     people = customers.select("user_id", "is_loyalty", "first_order_date").filter(F.col("first_order_date") <= as_of)
-    before = orders.filter(F.col("date_key") <= as_of)
-    on_day = F.col("date_key") == as_of
-    totals = before.groupBy(F.col("user_id").alias("buyer")).agg(
-        F.count("order_id").alias("cumulative_order_count"),
-        F.sum("net_revenue").alias("cumulative_ltv"),
-        F.max(F.when(F.col("order_id").isNotNull(), F.col("date_key"))).alias("last_order_so_far"),
-        F.max("date_key").alias("order_day"),
-        F.count(F.when(on_day, F.col("order_id"))).alias("daily_order_count"),
-        *[
-            F.sum(F.when(on_day, F.col(amount))).alias(name)
-            for name, amount in zip(_ACTIVITY[1:], ("gross_revenue", "net_revenue", "discount_amount"))
-        ],
+    daily = daily_activity(orders.filter(F.col("date_key") <= as_of))
+    daily = daily.withColumnRenamed("date_key", "order_day").withColumnRenamed("user_id", "buyer")
+    counted = people.join(
+        daily, (F.col("user_id") == F.col("buyer")) & (F.col("order_day") >= F.col("first_order_date")), "left"
+    )
+    on_day = F.col("order_day") == as_of
+    days = (
+        counted.groupBy("user_id", "is_loyalty", "first_order_date")
+        .agg(
+            F.sum("daily_order_count").alias("cumulative_order_count"),
+            F.sum("daily_net_revenue").alias("cumulative_ltv"),
+            F.max(F.when(F.col("daily_order_count") > 0, F.col("order_day"))).alias("last_order_so_far"),
+            F.max("order_day").alias("order_day"),
+            F.coalesce(F.sum(F.when(on_day, F.col("daily_order_count"))), F.lit(0)).alias("today"),
+            *[F.sum(F.when(on_day, F.col(name))).alias(f"{name}_today") for name in _ACTIVITY[1:]],
+        )
+        .withColumn("date_key", as_of)
+        .withColumnsRenamed({"today": _ACTIVITY[0], **{f"{name}_today": name for name in _ACTIVITY[1:]}})
     )
-    days = people.join(totals, F.col("user_id") == F.col("buyer"), "left").withColumn("date_key", as_of)
     return with_churn_flag(with_clv_segment(pin(_state_on_day(_final_values(days))))).select(*SNAPSHOT_COLUMNS)

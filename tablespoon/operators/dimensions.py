@@ -25,12 +25,9 @@ def calendar_attributes(days: DataFrame) -> DataFrame:
 
 
 def holiday_lookup(silver_dates: DataFrame) -> DataFrame:
-    """Holiday names by month and day."""
-    return (
-        silver_dates.filter("is_holiday")
-        .select(F.date_format("date_key", "MM-dd").alias("month_day"), "holiday_name")
-        .distinct()
-    )
+    """One holiday name per month and day, the first by name where a calendar of several years has more."""
+    month_day = F.date_format("date_key", "MM-dd").alias("month_day")
+    return silver_dates.filter("is_holiday").groupBy(month_day).agg(F.min("holiday_name").alias("holiday_name"))
 
 
 def dim_date(items: DataFrame, silver_dates: DataFrame) -> DataFrame:
@@ -59,17 +56,22 @@ def dim_restaurant(items: DataFrame) -> DataFrame:
 def dim_customer(items: DataFrame) -> DataFrame:
     """First and last order day, latest loyalty flag and the (location, app) pair with most lines.
 
-    One scan: lines collapse to (customer, location, app) before they collapse to the customer. The guest
-    account, which may hold a large part of all lines, arrives at its task as a few pre-aggregated rows.
-    The latest flag is the one on the line with the greatest (timestamp, order, line).
+    One scan: lines collapse by hash to (customer, location, app, order, flag), with counts and times only, before
+    structs are compared per (customer, location, app) and then per customer. The guest account, which may hold a
+    large part of all lines, arrives at its task as a few pre-aggregated rows. The latest flag is the one on the line
+    with the greatest (timestamp, order, flag).
     """
-    places = items.groupBy("user_id", "restaurant_id", "app_name").agg(
+    visits = items.groupBy("user_id", "restaurant_id", "app_name", "order_id", "is_loyalty").agg(
         F.count("order_id").alias("lines"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.max(
-            F.struct("order_timestamp", "order_id", F.coalesce("lineitem_id", F.lit("")).alias("line"), "is_loyalty")
-        ).alias("latest"),
+        F.max("order_timestamp").alias("order_timestamp"),
+    )
+    places = visits.groupBy("user_id", "restaurant_id", "app_name").agg(
+        F.sum("lines").alias("lines"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.max(F.struct("order_timestamp", "order_id", "is_loyalty")).alias("latest"),
     )
     favourite = F.struct((-F.col("lines")).alias("rank"), "restaurant_id", "app_name")
     return (

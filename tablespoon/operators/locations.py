@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import percent_one_decimal, to_gold_money
@@ -77,10 +77,9 @@ def location_ranking(df: DataFrame) -> DataFrame:
 
 
 def ranking_table(ranking: DataFrame) -> DataFrame:
-    """The ranking with money to two decimals."""
-    return ranking.withColumn("avg_order_value", F.col("avg_order_value").cast("decimal(18,2)")).orderBy(
-        F.desc("total_revenue"), "location_label"
-    )
+    """The ranking with its place and with money to two decimals; one row per location, so one task ranks them."""
+    place = F.row_number().over(Window.orderBy(F.desc("total_revenue"), "location_label"))
+    return ranking.withColumns({"avg_order_value": F.col("avg_order_value").cast("decimal(18,2)"), "rank": place})
 
 
 def location_kpis(ranking: DataFrame) -> DataFrame:

@@ -19,11 +19,19 @@ def option_totals() -> list[Column]:
 
 
 def order_items_agg(items: DataFrame) -> DataFrame:
-    """Lines to orders. Order attributes come from the earliest line (then the smallest line id)."""
+    """Lines to orders. Order attributes come from the earliest line with a readable timestamp.
+
+    Lines at one time count by user, location, day, app and flag, so the first of them is always the same. Lines that
+    agree in these and in category collapse by hash first; only what is left is compared as structs.
+    """
+    head = ["order_timestamp", "user_id", "restaurant_id", "order_date", "app_name", "is_loyalty"]
+    collapsed = items.groupBy("order_id", "item_category", *head).agg(
+        F.sum("item_quantity").alias("quantity"), F.sum("line_item_revenue").alias("revenue")
+    )
     first_line = F.min(
         F.struct(
+            F.col("order_timestamp").isNull().alias("unknown"),
             "order_timestamp",
-            F.coalesce("lineitem_id", F.lit("")).alias("line"),
             "user_id",
             "restaurant_id",
             F.col("order_date").alias("date_key"),
@@ -32,11 +40,11 @@ def order_items_agg(items: DataFrame) -> DataFrame:
         )
     ).alias("head")
     return (
-        items.groupBy("order_id")
+        collapsed.groupBy("order_id")
         .agg(
             first_line,
-            F.sum("item_quantity").alias("total_items"),
-            F.sum("line_item_revenue").alias("gross_revenue"),
+            F.sum("quantity").alias("total_items"),
+            F.sum("revenue").alias("gross_revenue"),
             F.countDistinct("item_category").alias("distinct_categories"),
         )
         .select(

@@ -47,6 +47,13 @@ def value_count(column: str, value: object, n: int) -> RowCheck:
     return RowCheck(f"value_count:{column}", F.count_if(F.col(column) == F.lit(value)), n)
 
 
+def same_value_count(df: DataFrame, table: str, column: str, value: object, source: DataFrame) -> DataFrame:
+    """Rows with a value against the rows of a source that must lead to it."""
+    counted = df.agg(F.count_if(F.col(column) == F.lit(value)).alias("a"))
+    both = counted.withColumn("b", source.agg(F.count(F.lit(1))).scalar())
+    return _single(both, f"value_count:{column}", table, F.col("a") == F.col("b"), F.col("a"), F.col("b"))
+
+
 def formula(name: str, expected: Column, actual: Column, tolerance: str = "0.01") -> RowCheck:
     """Two amounts agree within the tolerance on every row; a NULL on either side breaks the rule."""
     far = F.abs(actual - expected) > F.lit(tolerance).cast("decimal(18,4)")

@@ -27,7 +27,7 @@ def segmentation_kpis(df: DataFrame) -> DataFrame:
 def rfm_sample(df: DataFrame, n: int = 2000, seed: int = 42) -> DataFrame:
     """Repeatable sample of up to ``n`` customers for a scatter plot, with the inverse-recency bubble size."""
     return (
-        df.orderBy(F.xxhash64("user_id", F.lit(seed)), "user_id")
+        df.orderBy(F.md5(F.concat("user_id", F.lit(f"-{seed}")).cast("binary")), "user_id")
         .limit(n)
         .withColumn("bubble_size", F.lit(1.0) / (F.col("recency_days") + 1))
     )
