@@ -29,4 +29,4 @@ def bronze_date_dim(landing: DataFrame, ingested_at: str) -> DataFrame:
 
 
 # Partition columns each bronze table is written with.
-BRONZE_PARTITIONS = {"order_items": ["order_date_partition"], "order_item_options": [], "date_dim": ["year"]}
+BRONZE_PARTITIONS = {"order_items": ["order_date_partition_month"], "order_item_options": [], "date_dim": ["year"]}

@@ -187,9 +187,13 @@ def latest_date(snapshot: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(snapshot: DataFrame) -> DataFrame:
-    """Rows of the last day of a stored snapshot. The day is a scalar subquery, so it reaches the scan as a
-    filter once it is known."""
-    return snapshot.filter(F.col("date_key") == latest_date(snapshot).scalar())
+    """Rows of the last day of a stored snapshot. The day is a scalar subquery, so it reaches the scan as a filter once
+    it is known; where the month folders are at hand as a column, only the last one is opened."""
+    if "date_key_month" not in snapshot.columns:
+        return snapshot.filter(F.col("date_key") == latest_date(snapshot).scalar())
+    month = snapshot.agg(F.max("date_key_month")).scalar()
+    recent = snapshot.filter(F.col("date_key_month") == month)
+    return recent.filter(F.col("date_key") == latest_date(recent).scalar()).drop("date_key_month")
 
 
 def snapshot_as_of(customers: DataFrame, dates: DataFrame, orders: DataFrame, day: str | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ DATE_COLUMNS = [
     "date_key", "day_of_week", "week_number", "month_name", "month_number", "year", "is_weekend", "is_holiday",
     "holiday_name",
 ]
-SILVER_PARTITIONS = {"order_items": ["order_date_partition"], "order_item_options": [], "date_dim": ["year"]}
+SILVER_PARTITIONS = {"order_items": ["order_date_partition_month"], "order_item_options": [], "date_dim": ["year"]}
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

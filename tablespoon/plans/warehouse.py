@@ -7,7 +7,7 @@ sizes to choose join strategies from, and leaves nothing to recompute when an ex
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,22 +32,22 @@ GOLD_TABLES = (
     "fct_customer_rfm",
 )
 
-# Partition columns by layer and table. The snapshot is stored by day because reports read one day of it.
+# Partition columns by layer and table, at every size. Daily tables are stored by month; a report on one day reads the
+# files of its month, whose statistics leave out the row groups of other days.
 PARTITIONS: dict[tuple[str, str], Sequence[str]] = {
     **{("bronze", name): cols for name, cols in B.BRONZE_PARTITIONS.items()},
     **{("silver", name): cols for name, cols in S.SILVER_PARTITIONS.items()},
     ("gold", "dim_date"): ["year"],
-    ("gold", "fct_order_summary"): ["date_key"],
-    ("gold", "fct_daily_sales_summary"): ["date_key"],
-    ("gold", "fct_customer_daily_snapshot"): ["date_key"],
+    ("gold", "fct_order_summary"): ["date_key_month"],
+    ("gold", "fct_daily_sales_summary"): ["date_key_month"],
+    ("gold", "fct_customer_daily_snapshot"): ["date_key_month"],
 }
 
 
 class Warehouse:
     """Builds a table on first use. ``landing(name)`` supplies the landing frames.
 
-    ``stored`` names the layers to write; a layer left out is kept as a plan. ``partitions`` can be replaced where
-    day folders would only hold a handful of rows each.
+    ``stored`` names the layers to write; a layer left out is kept as a plan.
     """
 
     def __init__(
@@ -58,10 +58,9 @@ class Warehouse:
         ingested_at: str,
         test_accounts: Sequence[str] | DataFrame = S.TEST_ACCOUNTS,
         stored: Sequence[str] = ("bronze", "silver", "gold"),
-        partitions: Mapping[tuple[str, str], Sequence[str]] = PARTITIONS,
     ):
         self.spark, self.landing, self.layout, self.ingested_at = spark, landing, layout, ingested_at
-        self.test_accounts, self.stored, self.partitions = test_accounts, tuple(stored), partitions
+        self.test_accounts, self.stored = test_accounts, tuple(stored)
         self.rows_written: dict[tuple[str, str], int] = {}
         self._tables: dict[tuple[str, str], DataFrame] = {}
 
@@ -83,10 +82,15 @@ class Warehouse:
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", name)
 
+    def with_months(self, layer: str, name: str) -> DataFrame:
+        """A stored table with its month folders as a column."""
+        self.table(layer, name)
+        return read_table(self.spark, self.layout, layer, name, months=True)
+
     def _store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         # The row count is observed while writing; a separate count would run the whole plan again.
         counted = Observation(f"{layer}_{name}")
-        partitions = self.partitions.get((layer, name), ())
+        partitions = PARTITIONS.get((layer, name), ())
         write_table(df.observe(counted, F.count(F.lit(1)).alias("rows")), self.layout, layer, name, partitions)
         self.rows_written[layer, name] = counted.get["rows"]
         return read_table(self.spark, self.layout, layer, name)

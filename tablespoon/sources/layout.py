@@ -6,7 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: A partition column of this ending is the month (``yyyy-MM``) of the day column it is named after. It exists in the
+#: folders only: a day's folder would hold too few rows for a file of its own in most tables.
+MONTH = "_month"
 LAYERS = ("landing", "bronze", "silver", "gold")
 
 
@@ -24,8 +28,10 @@ class Layout:
         return f"{base.rstrip('/')}/{table}"
 
 
-def read_table(spark: SparkSession, layout: Layout, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(layout.path(layer, table))
+def read_table(spark: SparkSession, layout: Layout, layer: str, table: str, months: bool = False) -> DataFrame:
+    """A stored table as it was written; with ``months`` also its month folders as a column, for filters on them."""
+    df = spark.read.parquet(layout.path(layer, table))
+    return df if months else df.drop(*(c for c in df.columns if c.endswith(MONTH) and c.removesuffix(MONTH) in df.columns))
 
 
 def write_table(
@@ -35,20 +41,19 @@ def write_table(
     table: str,
     partition_cols: Sequence[str] = (),
     only_touched_partitions: bool = False,
-    tasks: int | None = None,
 ) -> str:
     """Overwrite a layer table and return its path.
 
     A partitioned write is rebalanced on its partition columns first, so that one day is written by a few
     tasks instead of by all of them. Adaptive execution splits a day that is too large for one task and
-    joins small ones, so neither tiny files nor a hot day hold the job up. Small data with very many partition
-    values is the exception: it would be joined into one task that opens every file in turn, so ``tasks`` sets
-    their number there. ``only_touched_partitions`` replaces just the partitions present in ``df`` (reruns of a
-    few days).
+    joins small ones, so neither tiny files nor a hot day hold the job up. ``date_key_month`` and the like are made
+    here. ``only_touched_partitions`` replaces just the partitions present in ``df``: a rerun brings whole partitions.
     """
     path = layout.path(layer, table)
     if partition_cols:
-        df = df.repartition(tasks, *partition_cols) if tasks else df.hint("rebalance", *partition_cols)
+        made = [c for c in partition_cols if c.endswith(MONTH) and c not in df.columns]
+        df = df.withColumns({c: F.substring(F.col(c.removesuffix(MONTH)).cast("string"), 1, 7) for c in made}) if made else df
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode("overwrite")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

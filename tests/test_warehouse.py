@@ -5,6 +5,7 @@ import shop
 from pyspark.sql import functions as F
 
 from tablespoon import fixtures as X
+from tablespoon.operators import customer_daily as C
 from tablespoon.operators import quality as Q
 from tablespoon.plans import Warehouse, build_all
 from tablespoon.sources import Layout
@@ -14,10 +15,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
-    # A quarter of a year keeps the number of day folders small.
-    recent = lambda df: df.filter(F.col("CREATION_TIME_UTC") >= "2001-06-01")
     landing = {
-        "order_items": recent(X.landing_order_items(spark, SF)),
+        "order_items": X.landing_order_items(spark, SF),
         "order_item_options": X.landing_order_item_options(spark, SF),
         "date_dim": X.landing_date_dim(spark, SF),
     }
@@ -35,8 +34,18 @@ def test_partition_columns_come_back_typed(built):
     warehouse, _ = built
     types = {f.name: f.dataType.simpleString() for f in warehouse.gold("fct_order_summary").schema}
     assert types["date_key"] == "date" and types["net_revenue"] == "decimal(18,2)"
-    assert "PartitionFilters: [isnotnull(date_key" in (
-        warehouse.gold("fct_order_summary").filter("date_key = DATE '2001-07-01'")._jdf.queryExecution().executedPlan().toString())
+    months = warehouse.with_months("gold", "fct_order_summary").filter("date_key_month = '2001-07'")
+    assert "PartitionFilters: [isnotnull(date_key_month" in months._jdf.queryExecution().executedPlan().toString()
+    assert {str(r.date_key)[:7] for r in months.select("date_key").distinct().collect()} == {"2001-07"}
+
+
+def test_last_day_opens_only_the_last_month(built):
+    warehouse, _ = built
+    latest = C.latest_snapshot(warehouse.with_months("gold", "fct_customer_daily_snapshot"))
+    assert "PartitionFilters: [isnotnull(date_key_month" in latest._jdf.queryExecution().executedPlan().toString()
+    assert latest.columns == warehouse.gold("fct_customer_daily_snapshot").columns
+    last = warehouse.gold("dim_date").agg(F.max("date_key")).first()[0]
+    assert {r.date_key for r in latest.select("date_key").distinct().collect()} == {last}
 
 
 def test_layers_pass_their_checks(built):
