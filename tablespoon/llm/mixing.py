@@ -73,7 +73,8 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
         F.lit(float("-inf")).alias("low"),
         F.lit(float("inf")).alias("high"),
     )
-    state = stored(start.withColumn("open", F.col("target").isNotNull()), "dual")
+    # one row per source, rewritten each round as one file
+    state = stored(start.withColumn("open", F.col("target").isNotNull()).coalesce(1), "dual")
     for _ in range(ROUNDS):
         if state.where("open").isEmpty():
             break
@@ -100,7 +101,7 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
             F.col("low") == float("-inf"), F.col("high") - F.abs("high") - 1
         ).otherwise((F.col("low") + F.col("high")) / 2)
         following = F.when(F.col("open"), F.when(inside, F.col("step")).otherwise(wider)).otherwise(F.col("a"))
-        state = stored(moved.select("source", "target", "mean", following.alias("a"), "low", "high", "open"), "dual")
+        state = stored(moved.select("source", "target", "mean", following.alias("a"), "low", "high", "open").coalesce(1), "dual")
     return state.select("source", F.when(F.col("target").isNotNull(), F.round("a", 9)).alias("a"), "mean")
 
 
@@ -129,7 +130,9 @@ def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     The plan has one row per source and size: every document gets ``low`` copies, and one more if its hash is at most
     ``cut``. Rows with equal hash share their fate.
     """
-    cells = stored(documents.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
+    # at most one row per source and different size: as many files as there are cores, not as shuffle partitions
+    tasks = documents.sparkSession.sparkContext.defaultParallelism
+    cells = stored(documents.groupBy("source", "size").agg(F.count("*").alias("n")).coalesce(tasks), "cells")
     targets = stored(source_targets(cells, weights, share, cap), "targets")
     dual = balanced_rates(cells, targets, cap)
     raw = F.exp(F.least(F.col("d.a") * F.col("c.size") / F.col("d.mean"), F.lit(700.0)))
@@ -143,7 +146,7 @@ def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     whole = rates.groupBy("source").applyInArrow(
         _whole_copies(cap), f"source {kind}, size long, n long, low long, extra long"
     )
-    whole = stored(whole, "copies")
+    whole = stored(whole.coalesce(tasks), "copies")
     part = whole.where("extra > 0 AND extra < n").select("source", "size", "extra")
     bucket = F.shiftrightunsigned("d.hash", 52).cast("int")  # the hash as unsigned: bucket order is hash order
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
@@ -169,7 +172,7 @@ def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
         "w.source", "w.size", "w.low",
         F.when(F.col("w.extra") >= F.col("w.n"), top).when(F.col("w.extra") > 0, F.col("k.cut")).alias("cut"),
     )
-    return targets, stored(plan, "plan")
+    return targets, stored(plan.coalesce(tasks), "plan")
 
 
 def _unsigned(hash_: str) -> Column:
