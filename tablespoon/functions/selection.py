@@ -194,14 +194,16 @@ def global_ntile(
     tiles: int = 5,
     buckets: int = 64,
     sample_rows: int = 4096,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Add ``ntile(tiles)`` over the whole table for several columns; ``columns`` maps score name to value column.
 
     Order is value ascending with NULLs first, then ``key``, which must be unique. ``ntile`` over an unpartitioned
     window would sort everything in one task. Here a sample of about ``sample_rows`` rows gives cut points on
     (value, key), so even one value shared by every row is spread evenly; the cuts only balance the work and do
-    not touch the result. Counting the buckets shows which few buckets hold the first row of a tile, only those
-    are ordered, and the tile-opening rows found there become constants of one projection: the table itself is
+    not touch the result. Counting the buckets shows which few buckets hold the first row of a tile. Such a bucket is
+    cut again until it has at most ``rows_per_task`` rows, however large the table; only then is it ordered, and the
+    tile-opening rows found there become constants of one projection: the table itself is
     never shuffled. The driver sees the sample, ``buckets`` counts per column and ``tiles - 1`` rows per column.
     """
     df = pin(df)
@@ -236,18 +238,47 @@ def global_ntile(
             size = sizes[score][bucket]
             wanted += [(bucket, start - seen + 1) for start in starts if seen <= start < seen + size]
             seen += size
-        if wanted:
-            in_order = W.partitionBy("_b").orderBy(F.col(column).asc_nulls_first(), k)
-            rows = (
-                df.select(k, F.col(column), bucket_of[score].alias("_b"))
-                .filter(F.col("_b").isin(sorted({b for b, _ in wanted})))
-                .withColumn("_rn", F.row_number().over(in_order))
-                .filter(reduce(lambda a, b: a | b, [(F.col("_b") == b) & (F.col("_rn") == rn) for b, rn in wanted]))
-            )
+        rows = df.select(k, F.col(column), bucket_of[score].alias("_b"))
+        for found in _rows_at(rows, wanted, sizes[score], order[score], column, key, buckets, sample_rows, rows_per_task):
             candidates.append(
-                rows.select(F.lit(score).alias("score"), k.alias("key"), F.col(column).cast("string").alias("value"))
+                found.select(F.lit(score).alias("score"), k.alias("key"), F.col(column).cast("string").alias("value"))
             )
     opening_rows: dict[str, list[tuple[object, str]]] = {score: [] for score in columns}
     for row in reduce(DataFrame.unionByName, candidates).collect() if candidates else []:
         opening_rows[row["score"]].append((row["value"], row["key"]))
     return df.withColumns({score: F.expr(order[score].tile(opening_rows[score])) for score in columns})
+
+
+def _rows_at(
+    rows: DataFrame,
+    wanted: list[tuple[int, int]],
+    sizes: Mapping[int, int],
+    order: _CompositeOrder,
+    column: str,
+    key: str,
+    buckets: int,
+    sample_rows: int,
+    rows_per_task: int,
+) -> list[DataFrame]:
+    """The rows at ``wanted`` places (bucket ``_b``, place from 1); no more than ``rows_per_task`` rows are ordered at once."""
+    out = []
+    small = [(b, place) for b, place in wanted if sizes[b] <= rows_per_task]
+    if small:
+        in_order = W.partitionBy("_b").orderBy(F.col(column).asc_nulls_first(), F.col(key))
+        at = reduce(lambda x, y: x | y, [(F.col("_b") == b) & (F.col("_rn") == place) for b, place in small])
+        some = rows.filter(F.col("_b").isin(sorted({b for b, _ in small})))
+        out.append(some.withColumn("_rn", F.row_number().over(in_order)).filter(at))
+    for large in sorted({b for b, _ in wanted if sizes[b] > rows_per_task}):
+        inside = rows.filter(F.col("_b") == large).drop("_b")
+        picked = inside.sample(fraction=min(1.0, sample_rows / sizes[large]), seed=large).collect()
+        points = sorted({(row[column], row[key]) for row in picked}, key=_sort_key)
+        cuts = points[max(1, len(points) // buckets) :: max(1, len(points) // buckets)]
+        inside = inside.withColumn("_b", F.expr(order.bucket(cuts)))
+        counts = {row["_b"]: row["count"] for row in inside.groupBy("_b").count().collect()}
+        limit = rows_per_task if len(counts) > 1 else sizes[large]  # a sample without a second row cuts nothing
+        below, nested = 0, []
+        for b in sorted(counts):
+            nested += [(b, place - below) for x, place in wanted if x == large and below < place <= below + counts[b]]
+            below += counts[b]
+        out += _rows_at(inside, nested, counts, order, column, key, buckets, sample_rows, limit)
+    return out

@@ -96,3 +96,11 @@ def test_a_group_is_counted_before_it_is_shuffled(spark):
     plan = order_statistics(frame(spark, 50, 9, 1), ["g"], "v", {"x": rank_of_fraction("0.5")})
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in text and "percent_rank" not in text
+
+
+def test_ntile_cuts_large_buckets_again(spark):
+    rows = [(f"k{i:05d}", None if i % 50 == 0 else i * 7919 % 13) for i in range(3000)]
+    df = spark.createDataFrame(rows, "user_id string, v int")
+    found = global_ntile(df, "user_id", {"tile": "v"}, buckets=3, sample_rows=40, rows_per_task=60)
+    wanted = df.withColumn("tile", F.ntile(5).over(W.orderBy(F.col("v").asc_nulls_first(), "user_id")))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
