@@ -203,11 +203,12 @@ def test_mixed_documents_are_whole_rows(spark):
 
 def test_line_rules(spark):
     good = "This line has quite enough plain words to stay in the text."
+    more = "Another sentence follows here, with different words and a proper end mark."
     menu, shout, nav = "a | b | c | d | e", "BUY NOW AND SAVE MONEY TODAY", "Home"
-    texts = [*ODD, "\n".join([good, good + " Really.", menu, nav]), "\n".join([good, shout, shout + " AGAIN " * 20]), good]
+    texts = [*ODD, "\n".join([good, more, menu, nav]), "\n".join([good, shout + " 1", more, " ".join(f"WORD{i}" for i in range(60))]), good]
     docs = frame(spark, texts, n_words=["mine"] * len(texts))
     found = {r.doc_id: r.rules for r in line_rules.judge_lines(docs).collect()}
-    assert found[8].clean_text == good + "\n" + good + " Really." and found[8].kept and found[8].n_bad_lines == 2
+    assert found[8].clean_text == good + "\n" + more and found[8].kept and found[8].n_bad_lines == 2
     assert not found[9].kept and not found[9].base_failed
     assert found[10].base_failed and found[0].n_words == 0 and found[0].clean_text == ""
     kept = line_rules.kept_documents(docs)
