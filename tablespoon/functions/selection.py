@@ -45,6 +45,8 @@ def order_statistics(
     value: str,
     ranks: Mapping[str, Callable[[Column], Column]],
     bucket: str | None = None,
+    counted: DataFrame | None = None,
+    rows_in: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """For each group of ``by``: ``n`` and, for each name in ``ranks``, a struct (value, below).
 
@@ -52,14 +54,19 @@ def order_statistics(
     is the value there and ``below`` the number of rows strictly smaller. NULL where the rank does not exist.
     ``by`` must be a closed small domain such as calendar days or labels: one row per group and rank is broadcast.
     ``bucket`` names a column that already holds :func:`log_bucket` of the value.
+
+    Where the rows of ``df`` are costly to make, ``counted`` has their number by group and bucket (``by``, ``_b``, ``_c``),
+    and ``rows_in`` makes the rows of the wanted buckets only, given these as a one-column frame ``_wb``.
     """
     by = list(by)
     coarse = F.col(bucket) if bucket else log_bucket(F.col(value))
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), coarse.alias("_b"))
+
+    def plain(frame: DataFrame) -> DataFrame:
+        return frame.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"), coarse.alias("_b"))
 
     group = W.partitionBy(*[F.col(c) for c in by]) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    counts = rows.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    counts = plain(df).groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c")) if counted is None else counted
     counts = counts.withColumns(
         {
             "n": F.sum("_c").over(group),
@@ -85,6 +92,7 @@ def order_statistics(
         F.col("_w.rank").alias("_rank"),
     )
 
+    rows = plain(rows_in(wanted.select("_wb").distinct()) if rows_in else df)
     match = reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col("_b") == F.col("_wb")
     )

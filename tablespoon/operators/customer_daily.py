@@ -146,20 +146,69 @@ def _state_on_day(days: DataFrame) -> DataFrame:
     )
 
 
-def clv_cuts(days: DataFrame, high: str = "0.8", medium: str = "0.2") -> DataFrame:
+def clv_cuts(days: DataFrame, high: str = "0.8", medium: str = "0.2", **interval: object) -> DataFrame:
     """Per day, the lifetime values at which percent_rank reaches the two bounds; ``days`` carries ``ltv_bucket``."""
     ranks = {"high": rank_of_fraction(high), "medium": rank_of_fraction(medium)}
-    stats = order_statistics(days, ["date_key"], "cumulative_ltv", ranks, bucket="ltv_bucket")
+    stats = order_statistics(days, ["date_key"], "cumulative_ltv", ranks, bucket="ltv_bucket", **interval)
     return thresholds(stats, ["date_key"], ranks)
 
 
-def with_clv_segment(days: DataFrame, high: str = "0.8", medium: str = "0.2") -> DataFrame:
+def value_intervals(totals: DataFrame) -> DataFrame:
+    """Days over which a customer's lifetime value stays the same: zero before the order day, then its total."""
+    before = F.coalesce(F.least("valid_to", F.date_sub("order_day", 1)), F.col("valid_to"))
+    parts = F.array(
+        F.struct(
+            F.col("valid_from").alias("first"), before.alias("last"), to_gold_money(F.lit(0)).alias("cumulative_ltv"),
+            log_bucket(F.lit(0)).alias("ltv_bucket"),
+        ),
+        F.struct(
+            F.greatest("valid_from", "order_day").alias("first"),
+            F.when(F.col("order_day").isNotNull(), F.col("valid_to")).alias("last"),
+            "cumulative_ltv",
+            "ltv_bucket",
+        ),
+    )
+    return totals.select(F.explode(parts).alias("i")).select("i.*").filter("first <= last")
+
+
+def interval_counts(intervals: DataFrame) -> DataFrame:
+    """Customers by day and bucket of the lifetime value, from where intervals begin and end.
+
+    One more where an interval begins, one less after its end, summed up along the days of a bucket: at most one row per
+    calendar day and bucket at any time, whatever the number of customers.
+    """
+    ends = F.array(
+        F.struct(F.col("first").alias("day"), F.lit(1).alias("step")), F.struct(F.date_add("last", 1).alias("day"), F.lit(-1).alias("step"))
+    )
+    steps = intervals.select("ltv_bucket", F.explode(ends).alias("e")).groupBy("ltv_bucket", "e.day").agg(F.sum("e.step").alias("step"))
+    along = W.partitionBy("ltv_bucket").orderBy("day")
+    levels = steps.withColumns(
+        {"_c": F.sum("step").over(along), "until": F.date_sub(F.lead("day").over(along), 1)}
+    ).filter("_c > 0")
+    days = F.explode(_every_day(F.col("day"), F.col("until"))).alias("date_key")
+    return levels.select(days, F.col("ltv_bucket").alias("_b"), "_c")
+
+
+def snapshot_cuts(totals: DataFrame) -> DataFrame:
+    """:func:`clv_cuts` of all days of the snapshot; only intervals in a wanted bucket are unfolded to days."""
+    intervals = value_intervals(totals)
+
+    def unfolded(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("date_key", F.explode(_every_day(F.col("first"), F.col("last"))))
+
+    def rows_in(buckets: DataFrame) -> DataFrame:
+        return unfolded(intervals.join(buckets, F.col("ltv_bucket") == F.col("_wb"), "left_semi"))
+
+    return clv_cuts(unfolded(intervals), counted=interval_counts(intervals), rows_in=rows_in)
+
+
+def with_clv_segment(days: DataFrame, high: str = "0.8", medium: str = "0.2", cuts: DataFrame | None = None) -> DataFrame:
     """High / Medium / Low by percent_rank of lifetime value among all customers of the day.
 
     Only the two cut values per day are computed from the ranking; a day's customers are compared with them
     where they are, so no day is ever sorted as a whole. The cuts are one row per calendar day.
     """
-    cuts = clv_cuts(days, high, medium).withColumnRenamed("date_key", "cut_day")
+    cuts = (clv_cuts(days, high, medium) if cuts is None else cuts).withColumnRenamed("date_key", "cut_day")
     value = F.col("cumulative_ltv")
     segment = F.when(reaches(value, "high"), "High").when(reaches(value, "medium"), "Medium").otherwise("Low")
     return (
@@ -175,10 +224,12 @@ def with_churn_flag(days: DataFrame, active_days: int = 30, at_risk_days: int =
 def fct_customer_daily_snapshot(customers: DataFrame, dates: DataFrame, orders: DataFrame) -> DataFrame:
     """Every customer on every day since the first order, up to the last calendar day.
 
-    The order days are written to the shared folder once; ranking and output then unfold them in place.
+    The order days are written to the shared folder once. The ranking counts intervals between them, so the customer x
+    day rows are made only once, on their way to the sink.
     """
-    days = unfold_days(pin(activity_with_totals(customers, dates, orders)))
-    return with_churn_flag(with_clv_segment(days)).select(*SNAPSHOT_COLUMNS)
+    totals = pin(activity_with_totals(customers, dates, orders))
+    ranked = with_clv_segment(unfold_days(totals), cuts=snapshot_cuts(totals))
+    return with_churn_flag(ranked).select(*SNAPSHOT_COLUMNS)
 
 
 def latest_date(snapshot: DataFrame) -> DataFrame:
