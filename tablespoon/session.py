@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ DEFAULT_CONF = {
 }
 
 _scratch: dict[str, list[str]] = {}
+_ending: set[str] = set()
 
 
 def get_spark(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -41,7 +43,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; :func:`release` removes all of a session's."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
     paths = _scratch.setdefault(spark.sparkContext.applicationId, [])
-    if not paths:
+    if spark.sparkContext.applicationId not in _ending:
+        _ending.add(spark.sparkContext.applicationId)
         atexit.register(release, spark)
     paths.append(path)
     return path
@@ -63,9 +66,25 @@ def pin(df: DataFrame) -> DataFrame:
     return stored(df, "pin")
 
 
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in map(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession, keep: tuple[str, ...] = ()) -> Iterator[None]:
+    """Scratch tables made inside go when the block ends well, but for those of the purposes in ``keep``."""
+    shared_dir(spark)
+    before = len(_scratch.setdefault(spark.sparkContext.applicationId, []))
+    yield
+    made = _scratch[spark.sparkContext.applicationId][before:]
+    gone = [path for path in made if path.rpartition("/")[2].rpartition("-")[0] not in keep]
+    _remove(spark, gone)
+    _scratch[spark.sparkContext.applicationId] = [x for x in _scratch[spark.sparkContext.applicationId] if x not in gone]
+
+
 def release(spark: SparkSession) -> None:
     """Remove the session's scratch tables; to be called when nothing reads them any more."""
     paths = _scratch.pop(spark.sparkContext.applicationId, []) if spark.sparkContext._jsc else []
     with contextlib.suppress(Exception):  # the JVM may have ended before this
-        for path in map(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, paths):
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, paths)
