@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tablespoon.llm.components import connected_components
 from tablespoon.llm.words import NON_SPACE, blocks, hashed_words, mix64
-from tablespoon.session import stored
+from tablespoon.session import intermediates, stored
 
 BANDS, ROWS = 45, 6  # a pair at similarity 0.8 shares no bucket with a chance of (1 - 0.8**6)**45 = 1e-6
 FILTER_BITS = 1 << 23
@@ -216,16 +216,17 @@ def near_copies(
     # a set of fewer than ``least`` shingles can only be linked with an equal one
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("body"))
-    seen = stored(with_buckets(texts, "body", "doc", words, bands, rows, least), "digests")
-    classes = seen.where("digest IS NOT NULL AND doc IS NOT NULL").groupBy("digest").agg(
-        F.min("doc").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("buckets").alias("buckets")
-    )
-    classes = stored(classes, "classes")
-    links = _links(classes, texts, words, percent)
-    parts = connected_components(links)
-    by_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")
-    )
+    with intermediates(docs.sparkSession, keep=("digests", "by_class")):
+        seen = stored(with_buckets(texts, "body", "doc", words, bands, rows, least), "digests")
+        classes = seen.where("digest IS NOT NULL AND doc IS NOT NULL").groupBy("digest").agg(
+            F.min("doc").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("buckets").alias("buckets")
+        )
+        classes = stored(classes, "classes")
+        parts = connected_components(_links(classes, texts, words, percent))
+        by_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "digest", F.coalesce("component", "rep").alias("component")
+        )
+        by_class = stored(by_class, "by_class")
     out = seen.select("doc", "n_shingles", "digest").join(by_class, "digest", "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return out.select(
