@@ -103,3 +103,57 @@ best AS (
 SELECT page_id, host, path, CASE WHEN b.r = 1 THEN b.e END AS rule, coalesce(b.v, 'allow') AS verdict, b.e AS entry
 FROM page LEFT JOIN best USING (page_id)
 """
+
+
+def license_scan(templates, cue: str, word: str, least_cosine: float, file_share: float) -> str:
+    values = ", ".join(f"('{name}', '{body}')" for name, body in templates)
+    n = len(templates)
+    return rf"""
+WITH f AS (
+  SELECT doc_id, text, coalesce(source, '-') || '/' || coalesce(lang, '-') || '/'
+         || regexp_replace(substr(d, 1, length(d) - 1), '(.)', '\1/', 'g') || d AS path
+  FROM (SELECT *, CAST(doc_id AS VARCHAR) AS d FROM documents)),
+cue AS (
+  SELECT * FROM (SELECT path, unnest(string_split(coalesce(text, ''), chr(10))) AS body FROM f)
+  WHERE regexp_matches(lower(body), '{cue}')),
+tt AS (
+  SELECT licence, term, count(*) AS n FROM (
+    SELECT licence, unnest(regexp_extract_all(body, '{word}')) AS term FROM (VALUES {values}) AS t(licence, body)) GROUP BY ALL),
+idf AS (SELECT term, ln(1 + {n}.0 / count(*)) AS idf FROM tt GROUP BY term),
+tw AS (SELECT licence, term, n * idf AS w FROM tt JOIN idf USING (term)),
+share AS (
+  SELECT licence, term, w / norm AS s FROM tw JOIN (SELECT licence, sqrt(sum(w * w)) AS norm FROM tw GROUP BY 1) USING (licence)),
+terms AS (
+  SELECT body, term, count(*) AS tf FROM (
+    SELECT body, unnest(regexp_extract_all(lower(body), '{word}')) AS term FROM (SELECT DISTINCT body FROM cue)) GROUP BY ALL),
+lw AS (SELECT body, term, tf * coalesce(idf, ln(1 + {n}.0)) AS w FROM terms LEFT JOIN idf USING (term)),
+norm AS (SELECT body, sqrt(CAST(sum(CAST(w * w AS DECIMAL(38,12))) AS DOUBLE)) AS norm FROM lw GROUP BY 1),
+cosine AS (
+  SELECT body, licence, round(CAST(sum(CAST(w * s AS DECIMAL(38,12))) AS DOUBLE) / norm, 6) AS cosine
+  FROM lw JOIN share USING (term) JOIN norm USING (body) GROUP BY body, licence, norm),
+best AS (
+  SELECT body, licence, cosine FROM (
+    SELECT *, row_number() OVER (PARTITION BY body ORDER BY cosine DESC, licence) AS rn FROM cosine WHERE cosine >= {least_cosine})
+  WHERE rn = 1),
+own AS (
+  SELECT path, licence, cosine, licence_words FROM (
+    SELECT path, licence, cosine, row_number() OVER (PARTITION BY path ORDER BY cosine DESC, licence) AS rn,
+           sum(len(regexp_extract_all(lower(body), '{word}'))) OVER (PARTITION BY path) AS licence_words
+    FROM cue JOIN best USING (body)) WHERE rn = 1),
+dir AS (
+  SELECT directory, licence, cosine, path FROM (
+    SELECT *, row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, path) AS rn FROM (
+      SELECT own.*, regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory
+      FROM own JOIN (SELECT path, sum(len(regexp_extract_all(lower(coalesce(text, '')), '{word}'))) AS words FROM f GROUP BY 1) USING (path)
+      WHERE licence_words >= words * {file_share})) WHERE rn = 1),
+near AS (
+  SELECT path, licence, cosine, origin_path FROM (
+    SELECT f.path, dir.licence, dir.cosine, dir.path AS origin_path,
+           row_number() OVER (PARTITION BY f.path ORDER BY length(directory) DESC) AS rn
+    FROM f JOIN dir ON directory = '' OR starts_with(f.path, directory || '/')
+    WHERE f.path NOT IN (SELECT path FROM own)) WHERE rn = 1)
+SELECT doc_id, f.path, coalesce(own.licence, near.licence) AS licence, coalesce(own.cosine, near.cosine) AS cosine,
+       CASE WHEN own.path IS NOT NULL THEN 'own' WHEN near.path IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       coalesce(own.path, near.origin_path) AS source_path
+FROM f LEFT JOIN own ON f.path = own.path LEFT JOIN near ON f.path = near.path
+"""

@@ -105,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op6_line_cleaning": oracle.LINE_CLEANING,
+    "op8_license_scan": oracle.license_scan(
+        licenses.TEMPLATES, licenses.CUE, licenses.WORD, licenses.LEAST_COSINE, licenses.FILE_SHARE
+    ),
     "op9_url_verdicts": oracle.url_verdicts(URL_RULES, BLOCKED_HOSTS),
     "op10_decontamination": oracle.DECONTAMINATION,
 }
