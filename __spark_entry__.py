@@ -206,15 +206,14 @@ def _snapshot_months(w: Warehouse) -> DataFrame:
 
 
 def _last_order_days(w: Warehouse) -> DataFrame:
-    seen = F.date_sub("date_key", F.col("days_since_last_order"))
-    per_day = _states(w).select("user_id", seen.alias("seen")).groupBy("user_id", "seen").agg(
-        F.count(F.lit(1)).alias("days")
-    )
-    return per_day.groupBy("user_id").agg(
-        F.sum("days").alias("days"),
-        F.count("seen").alias("order_days"),
-        F.min("seen").alias("first_seen"),
-        F.max("seen").alias("last_seen"),
+    """The operator's own column, weighted by the days for which each order day stays the last one."""
+    totals = C.activity_with_totals(*_snapshot_inputs(w)).filter("valid_from <= valid_to")
+    seen = F.col("last_order_so_far")
+    return totals.groupBy("user_id").agg(
+        F.sum(F.datediff("valid_to", "valid_from") + 1).cast("bigint").alias("days"),
+        F.countDistinct(seen).alias("order_days"),
+        F.min(seen).alias("first_seen"),
+        F.max(seen).alias("last_seen"),
     )
 
 
