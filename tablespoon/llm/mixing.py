@@ -21,7 +21,6 @@ SHARE = 1.5  # of all words
 CAP = 2.0  # copies of a document, and words of a source as a multiple
 ROUNDS = 60
 TOLERANCE = 1e-5  # of a target
-_BUCKETS = 4096
 _EXACT = "decimal(38,6)"  # sums that do not depend on the order of rows
 
 

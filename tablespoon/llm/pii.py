@@ -17,14 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablespoon.llm.spans import Span, ascii_lower, digest, listed
+from tablespoon.llm.spans import Span, ascii_lower
 from tablespoon.llm.words import NON_SPACE, blocks, hash_spans, lower_ascii, mix64, word_spans
 from tablespoon.session import stored
 
 #: Base kinds in their order, their patterns and bounds.
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
