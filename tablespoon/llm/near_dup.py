@@ -351,15 +351,15 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     It is the row whose key names the group; of several such rows the one with the smallest text hash. Rows without words
     are no copies of each other and stay unless their key repeats; rows without a key stay.
     """
-    keys = docs.select(F.col(key).alias(key), F.col(text).alias(text))
-    judged = near_copies(keys, key, text, **options)
-    kept = judged.where("kept").select(F.col(key).alias("__key")).distinct()
-    rows = docs.select(F.struct("*").alias("__doc"), F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"))
-    kept_rows = rows.join(stored(kept, "kept"), "__key", "left_semi")
-    repeated = stored(keys.groupBy(key).count().where("count > 1").select(F.col(key).alias("__key")), "repeated")
-    single = kept_rows.join(repeated, "__key", "left_anti")
-    first = kept_rows.join(repeated, "__key", "left_semi").groupBy("__key").agg(
-        F.min_by("__doc", "__hash").alias("__doc")
+    judged = near_copies(docs.select(F.col(key).alias(key), F.col(text).alias(text)), key, text, **options)
+    per_key = judged.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n")
     )
-    keyless = rows.where("__key IS NULL").select("__doc")
-    return single.select("__doc").unionByName(first.select("__doc")).unionByName(keyless).select("__doc.*")
+    per_key = stored(per_key, "per_key")
+    # the keys that do not simply stay are the shorter list, so texts meet it without a shuffle while it is small
+    leave = stored(per_key.where("n > 1 OR NOT kept").select("__key"), "leave")
+    again = stored(per_key.where("n > 1 AND kept").select("__key"), "again")
+    rows = docs.select(F.struct("*").alias("__doc"), F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"))
+    single = rows.join(leave, "__key", "left_anti").select("__doc")  # rows without a key stay here
+    first = rows.join(again, "__key", "left_semi").groupBy("__key").agg(F.min_by("__doc", "__hash").alias("__doc"))
+    return single.unionByName(first.select("__doc")).select("__doc.*")
