@@ -560,13 +560,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["h1_latest_snapshot"](spark, "/root/testdata/sf0.001")
 
 
+def _with_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import the package from here, whatever folder the driver was started in."""
+    here, known = os.path.dirname(os.path.abspath(__file__)), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
+    return spark
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Warehouse, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(warehouse(spark, sf_dir), sf_dir)
 
     found = {key: bind(build) for key, build in _QUERIES.items()}
     if training_data:
-        found |= training_data.QUERIES | {"pipeline": corpus_pipeline.run}
+        for key, query in (training_data.QUERIES | {"pipeline": corpus_pipeline.run}).items():
+            found[key] = lambda spark, sf_dir, query=query: query(_with_package(spark), sf_dir)
     return found
 
 
