@@ -67,8 +67,11 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
         "t.source",
         F.when((F.col("total") > 0) & (F.col("target") < F.col("total") * cap * (1 - 1e-9)), F.col("target")).alias("target"),
         (F.col("total") / F.col("docs")).alias("mean"),
-        # the step that a source of equal sizes would need
-        (F.log(F.col("target") / F.col("total")) * F.col("total") / F.col("docs") * F.col("total") / F.col("square")).alias("a"),
+        # the step that a source of equal sizes would need; one without words has none, and its sums are no divisors
+        F.when(
+            F.col("total") > 0,
+            F.log(F.col("target") / F.col("total")) * F.col("total") / F.col("docs") * F.col("total") / F.col("square"),
+        ).alias("a"),
         F.lit(float("-inf")).alias("low"),
         F.lit(float("inf")).alias("high"),
     )

@@ -198,6 +198,16 @@ def test_mixed_documents_are_whole_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_sources_without_words_take_nothing(spark):
+    empty = spark.createDataFrame([(2000, "", "blank"), (2001, None, "blank"), (2002, " \n", "blank")], "doc_id long, text string, source string")
+    rows = {r.doc_id: r for r in mixing.mix(mix_frame(spark).union(empty)).collect()}
+    assert [(rows[i].source_size, rows[i].target, rows[i].taken) for i in (2000, 2001, 2002)] == [(0, 0.0, 0)] * 3
+    assert sum(r.taken for r in rows.values()) > 0
+    nothing = empty.union(spark.createDataFrame([(2003, "", None)], empty.schema))
+    assert [(r["size"], r.target, r.taken) for r in mixing.mix(nothing).collect()] == [(0, 0.0, 0)] * 4
+    assert mixing.mixed_documents(nothing).count() == 4
+
+
 # --- line rules --------------------------------------------------------------------------------------------------
 
 
