@@ -330,6 +330,29 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert licenses.scan_licences(files.limit(0)).count() == 0
 
 
+def test_full_texts_long_lines_and_distinguishing_terms(spark):
+    from importlib.resources import files as package_files
+
+    full = lambda n: (package_files("tablespoon.llm") / "licence_texts" / f"{n}.txt").read_text()
+    fill = "plain words of a paragraph that goes on and on before and after what it says about terms of use"
+    wanted = {f"{n}/LICENSE": (n, full(n)) for _, n, _, _ in licenses.TEXTS}
+    wanted |= {
+        "h/a": ("gpl-3.0", f"{fill} this work is licensed under the GNU General Public License, version 3. {fill}"),
+        "h/b": ("gpl-3.0", f"# {fill}\n# Licensed under the GNU General\n# Public License version 3\n{fill}"),
+        "h/c": ("mit", f"// SPDX-License-Identifier: MIT\n{fill}"),
+        "h/d": ("gpl-2.0", f"{fill}\nThis work is licensed under the GNU General Public License, version 2.\n{fill}"),
+        "h/e": ("lgpl-3.0", f"This work is licensed under the GNU Lesser General Public License, version 3.\n{fill}"),
+        "h/f": ("cc-by-sa-4.0", f"Licensed under CC BY-SA 4.0.\n{fill}"),
+        "h/g": ("cc-by-nc-nd-4.0", f"Licensed under CC BY-NC-ND 4.0.\n{fill}"),
+        "h/i": (None, f"Licensed under the GNU General Public License, version 7.\n{fill}"),
+    }
+    rows = [(p, t) for p, (_, t) in wanted.items()] + [("mit/src/x", "nothing here"), ("gpl-2.0/y", "nothing here")]
+    found = {r.path: r for r in licenses.scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {p: found[p].licence for p in wanted} == {p: n for p, (n, _) in wanted.items()}
+    assert (found["mit/src/x"].licence, found["mit/src/x"].source_path) == ("mit", "mit/LICENSE")
+    assert (found["gpl-2.0/y"].licence, found["gpl-2.0/y"].origin) == ("gpl-2.0", "inherited")
+
+
 # --- urls --------------------------------------------------------------------------------------------------------
 
 
