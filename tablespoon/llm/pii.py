@@ -3,8 +3,10 @@
 Four base kinds have patterns of their own; what they match are the seeds. The words to the left of a seed (one, two or
 three of them) are lexical patterns. A pattern is worth as much as the part of its occurrences *in the whole corpus* that
 is followed by a trusted instance, so common words are worth nothing and cues like ``call me at`` are worth a lot. An
-instance (a token with a digit, by its value) is worth what its patterns make likely. Spark scores patterns and instances
-in turn over their graph; tokens of high worth that no base pattern found become spans of kind ``context``.
+instance (a token with a digit, a number in groups, a name or a handle, by its value) is worth what its patterns make
+likely, on average over all its occurrences. Spark scores patterns and instances in turn over their graph, and instances
+believed in one round admit new patterns in the next; occurrences of believed instances that stand behind a believed
+pattern, and that no base pattern found, become spans of kind ``context``.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 CONTEXT = "context"
 
 LEFT_WORDS = 3  # longest pattern
-LEAST_SEEDS = 5  # different seed values that a pattern must have preceded
+LEAST_SEEDS = 5  # different seed or believed values that a pattern must have preceded
 LEAST_WORTH = 0.5  # of a pattern, and
 LEAST_BELIEF = 0.9  # of a new instance
 ROUNDS = 3
@@ -39,6 +41,12 @@ ROUNDS = 3
 _LOCAL_CHAR = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGITS = re.compile(r"[0-9]+")
 _REST = re.compile(r"[^\x20\x09-\x0D]*")
+#: Candidates of several tokens, or without a digit: numbers in groups, names, handles.
+_GROUPS = re.compile(r"(?<![^\x20\x09-\x0D\"'\[{<:,;])\+?\(?[0-9]{1,5}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?)+(?![^\x20\x09-\x0D.,:;!?\]}>\"')])")
+_GROUP_DIGITS = (7, 19)
+_UPPER = r"[A-Z\xC0-\xD6\xD8-\xDE]"
+_NAME = re.compile(rf"(?<![^\x20\x09-\x0D\"'(\[]){_UPPER}[^\W\d_]+(?:[\x20'-](?:{_UPPER}\.|{_UPPER}[^\W\d_]+))+")
+_HANDLE = re.compile(r"(?<![^\x20\x09-\x0D\"'(\[])@?[A-Za-z]+(?:_[A-Za-z]+)+|(?<![^\x20\x09-\x0D\"'(\[])@[A-Za-z]+")
 _SPACE = " \t\n\x0b\x0c\r"
 _EDGE = ".,;:!?()[]{}<>\"'"
 _U = np.uint64
@@ -89,10 +97,42 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _shapes(text: str) -> list[tuple[int, int]]:
+    """Numbers in groups, names of two words or more, and handles, in this order."""
+    out = []
+    for m in _GROUPS.finditer(text):
+        if _GROUP_DIGITS[0] <= len(_digits(m.group())) <= _GROUP_DIGITS[1] and not m.group().isdigit():
+            out.append(m.span())
+    for m in _NAME.finditer(text):
+        a, b = m.span()
+        before = text[:a].rstrip(_SPACE)[-1:] if a < 64 else text[a - 64 : a].rstrip(_SPACE)[-1:]
+        if (not before or before in ".!?") and m.group().count(" ") >= 2:
+            a += m.group().index(" ") + 1  # a sentence begins with a capital anyway
+        out.append((a, b))
+    if "_" in text or "@" in text:
+        out += [m.span() for m in _HANDLE.finditer(text)]
+    return out
+
+
 def _candidates(text: str, base: list[Span]) -> list[tuple[int, int, bool]]:
-    """(start, end, seed): base spans, and trimmed tokens with a digit that touch none of them."""
+    """(start, end, seed): base spans, then shapes and trimmed tokens with a digit that touch none of those before."""
     taken = sorted((a, b) for _, a, b in base)
     out = [(a, b, True) for a, b in taken]
+
+    def free(spans: list[tuple[int, int]], held: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Of ``spans`` those that overlap neither ``held`` nor one another; all are looked at once, in order."""
+        kept, at, last = [], 0, 0
+        for a, b in sorted(spans):
+            while at < len(held) and held[at][1] <= a:
+                at += 1
+            if a >= last and not any(x < b and y > a for x, y in held[at : at + 2]):
+                kept.append((a, b))
+                last = b
+        return kept
+
+    shapes = free(_shapes(text), taken)
+    out += [(a, b, False) for a, b in shapes]
+    taken = sorted(taken + shapes)
     at = end = 0
     for m in _DIGITS.finditer(text):
         if m.start() < end:
@@ -220,36 +260,46 @@ def corpus_counts(docs: DataFrame, patterns: DataFrame, text: str, block: int =
     return both.groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
-def score_graph(edges: DataFrame, occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(value, belief) of instances that are no seeds, by mutual scoring of patterns and instances.
+def score_graph(contexts: DataFrame, count, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(believed values, worth of believed patterns) by mutual scoring of patterns and instances.
 
-    ``edges`` has (value, seed, pattern, n) with ``n`` occurrences of the instance behind the pattern. A pattern is worth
-    the believed part of its occurrences; an instance is believed as its best pattern is worth, times what it takes to
-    exclude chance: the noisy-or over its patterns. Both sums are combined before the shuffle.
+    ``contexts`` has (value, seed, patterns, n): ``n`` occurrences of a value behind nested patterns; ``count`` gives
+    (pattern, n) over the corpus for a frame of patterns. In every round the patterns that enough different seeds or believed
+    instances follow are admitted anew. A pattern is worth the believed part of its occurrences. An occurrence is worth its
+    best pattern, as nested patterns are one piece of evidence, and an instance the mean of all its occurrences, so one that
+    mostly stands elsewhere is not believed. All sums are combined before the shuffle.
     """
-    instances = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("belief"))
-    instances = stored(instances, "beliefs")
+    spark = contexts.sparkSession
+    edges = contexts.select("value", "seed", "n", F.explode("patterns").alias("pattern"))
+    edges = stored(edges.groupBy("value", "seed", "pattern").agg(F.sum("n").alias("n")), "edges")
+    others = edges.where("NOT seed").select("pattern").distinct()
+    seeded = edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") > 0)
+    seeded = stored(seeded.join(others, "pattern", "left_semi"), "seeded")
+    counts = spark.createDataFrame([], "pattern long, n long")
+    good = spark.createDataFrame([], "value string")
+    belief = spark.createDataFrame([], "value string, belief double")
+    worth = spark.createDataFrame([], "pattern long, worth double")
     for _ in range(rounds):
-        worth = (
-            edges.join(instances, "value")
-            .groupBy("pattern")
-            .agg(F.sum((F.col("n") * F.col("belief")).cast("decimal(38,9)")).cast("double").alias("hits"))
-            .join(occurrences.withColumnRenamed("n", "all"), "pattern")
-            .select("pattern", F.least(F.col("hits") / F.col("all"), F.lit(1.0)).alias("worth"))
-            .where(F.col("worth") >= LEAST_WORTH)
-        )
-        doubt = F.sum(F.log(F.greatest(1 - F.col("worth"), F.lit(1e-9))).cast("decimal(38,9)")).cast("double")
-        believed = (
-            edges.select("value", "pattern").join(worth, "pattern").groupBy("value").agg((1 - F.exp(doubt)).alias("new"))
+        more = edges.where("NOT seed").join(good, "value", "left_semi").groupBy("pattern").agg(F.count("*").alias("seeds"))
+        used = seeded.unionByName(more).groupBy("pattern").agg(F.sum("seeds").alias("seeds")).where(F.col("seeds") >= LEAST_SEEDS)
+        used = stored(used.select("pattern"), "patterns")
+        fresh = stored(used.join(counts, "pattern", "left_anti"), "fresh")
+        if not fresh.isEmpty():
+            counts = stored(counts.unionByName(count(fresh)), "occurrences")
+        trusted = edges.join(used, "pattern", "left_semi").join(belief, "value", "left")
+        weight = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0)))
+        hits = trusted.groupBy("pattern").agg(F.sum((F.col("n") * weight).cast("decimal(38,9)")).cast("double").alias("hits"))
+        worth = hits.join(counts.withColumnRenamed("n", "all"), "pattern").select(
+            "pattern", F.least(F.col("hits") / F.col("all"), F.lit(1.0)).alias("worth")
         )
-        seeds = edges.groupBy("value").agg(F.max("seed").alias("seed"))
-        instances = stored(
-            seeds.join(believed, "value", "left").select(
-                "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("new", F.lit(0.0))).alias("belief")
-            ),
-            "beliefs",
-        )
-    return instances.where("NOT seed").select("value", "belief") if rounds else instances.where("false")
+        worth = stored(worth.where(F.col("worth") >= LEAST_WORTH), "worth")
+        behind = contexts.where("NOT seed").select("value", "patterns", "n", F.explode("patterns").alias("pattern")).join(worth, "pattern")
+        best = behind.groupBy("value", "patterns", "n").agg(F.max("worth").alias("worth"))
+        scored = best.groupBy("value").agg(F.sum((F.col("n") * F.col("worth")).cast("decimal(38,9)")).cast("double").alias("score"))
+        totals = contexts.where("NOT seed").join(scored, "value", "left_semi").groupBy("value").agg(F.sum("n").alias("total"))
+        belief = stored(scored.join(totals, "value").select("value", (F.col("score") / F.col("total")).alias("belief")), "beliefs")
+        good = belief.where(F.col("belief") >= LEAST_BELIEF).select("value")
+    return good, worth
 
 
 def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -266,27 +316,20 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text",
     docs_found = stored(
         texts.mapInArrow(_extract("key", "body"), f"key {kind}, base array<{span}>, candidates array<{found}>"), "candidates"
     )
-    one = docs_found.select(F.explode("candidates").alias("c")).select(
-        "c.value", "c.seed", F.explode(F.array_distinct("c.patterns")).alias("pattern")
-    )
-    edges = stored(one.groupBy("value", "seed", "pattern").agg(F.count("*").alias("n")), "edges")
-    # a pattern needs different seeds, and something that is no seed to say anything about
-    used = edges.groupBy("pattern").agg(
-        F.count_if("seed").alias("seeds"), F.count_if(~F.col("seed")).alias("others")
-    ).where((F.col("seeds") >= LEAST_SEEDS) & (F.col("others") > 0)).select("pattern")
-    used = stored(used, "patterns")
-    edges = stored(edges.join(used, "pattern", "left_semi"), "edges")
-    occurrences = stored(corpus_counts(texts, used, "body"), "occurrences")
-    belief = score_graph(edges, occurrences, rounds)
-    good = stored(belief.where(F.col("belief") >= LEAST_BELIEF).select("value"), "discovered")
+    one = docs_found.select(F.explode("candidates").alias("c")).select("c.value", "c.seed", "c.patterns")
+    contexts = stored(one.groupBy("value", "seed", "patterns").agg(F.count("*").alias("n")), "contexts")
+    good, worth = score_graph(contexts, lambda patterns: corpus_counts(texts, patterns, "body"), rounds)
     rows = stored(docs_found.withColumn("row", F.monotonically_increasing_id()), "rows")
-    new = (
+    # only where an own pattern is believed; other occurrences of the same value stay
+    places = (
         rows.select("row", F.explode(F.filter("candidates", lambda c: ~c.seed)).alias("c"))
-        .select("row", "c.value", "c.start", "c.end")
+        .select("row", "c.value", "c.start", "c.end", F.explode("c.patterns").alias("pattern"))
+        .join(worth, "pattern", "left_semi")
         .join(good, "value", "left_semi")
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct(F.lit(CONTEXT).alias("kind"), "start", "end"))).alias("more"))
+        .select("row", "start", "end")
+        .distinct()
     )
+    new = places.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.lit(CONTEXT).alias("kind"), "start", "end"))).alias("more"))
     base = rows.select("row", "key", "base").join(new, "row", "left")
     as_text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
     own = F.transform("base", as_text)

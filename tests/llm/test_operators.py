@@ -264,6 +264,29 @@ def test_contexts_of_seeds_discover_new_identifiers(spark):
     assert pii.find_personal_data(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_contexts_are_places_and_spread(spark):
+    texts = [f"some words and call me at +1 (555) 123-{1000 + i} then more" for i in range(40)]
+    texts += ["please call me at 5 or so"] + [f"clean text number {i} has a 5 in it" for i in range(30)]
+    at = len(texts)
+    texts += ["please call me at (017) 555-7713 now", "please call me at John Smith now", "and then call me at jane_roe now", "see 8812345 and 8812345"]
+    # a second cue that no seed follows: its values are known from the first one
+    texts += [f"so call me at 777000{i} today" for i in range(6)] + [f"or text my pager {'777000' + str(i)} today" for i in range(6)]
+    texts += ["or text my pager 9990001 today", "pages 9990002 today"]
+    found = pii.find_personal_data(frame(spark, texts)).orderBy("doc_id").collect()
+    marked = lambda i: [texts[i][int(a) : int(b)] for k, a, b in (x.split(":") for x in found[i].spans.split(",") if x) if k == "context"]
+    assert all(marked(i) == [] for i in range(40, at))
+    assert [marked(i) for i in range(at, at + 4)] == [["(017) 555-7713"], ["John Smith"], ["jane_roe"], []]
+    assert all(f.n_context == len(marked(i)) for i, f in enumerate(found))
+
+
+def test_believed_instances_admit_patterns(spark):
+    texts = [" ".join(f"call me at +1 (555) {100 + i}-{1000 + j} then" for j in range(50)) for i in range(160)]
+    texts += [f"call me at 77700{i} then " * 30 for i in range(10, 50)] + [f"or text my pager 77700{i} today" for i in range(10, 50)]
+    texts += ["or text my pager 9990001 today"]  # no seed stands behind this cue
+    found = pii.find_personal_data(frame(spark, texts)).orderBy("doc_id").collect()
+    assert found[-1].spans == found[-2].spans == "context:17:24"
+
+
 def github(body):
     value, out = zlib.crc32(body.encode()), ""
     for _ in range(6):
