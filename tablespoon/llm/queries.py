@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablespoon.llm import decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, token_store, url_filter
-from tablespoon.session import scratch_dir
+from tablespoon.session import scratch_dir, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,12 +68,17 @@ BLOCKED_HOSTS = (
     "ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net",
     "free-bets.example.net", "spam-farm.example.org",
 )
+#: The names of these hosts; the query blocks them under every domain that the pages have.
+BLOCKED_NAMES = tuple(h.split(".")[0] for h in BLOCKED_HOSTS)
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = [url_filter.Entry(text, verdict) for text, verdict in URL_RULES]
-    entries += [url_filter.Entry(f"{host}/", "block", rule=False) for host in BLOCKED_HOSTS]
-    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), entries)
+    pages = _table(spark, sf_dir, "pages")
+    listed = stored(url_filter.named_hosts(pages, BLOCKED_NAMES), "blocked")
+    blocked = sorted({*BLOCKED_HOSTS, *(r.host for r in listed.toLocalIterator())})
+    entries += [url_filter.Entry(f"{host}/", "block", rule=False) for host in blocked]
+    return url_filter.filter_urls(pages, entries)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

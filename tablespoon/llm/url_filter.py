@@ -8,6 +8,7 @@ one vectorised binary search, and compare the stored string of each hit, so a co
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -142,6 +143,16 @@ def _shared_file(spark: SparkSession, content: bytes) -> str:
     return name
 
 
+def named_hosts(pages: DataFrame, names, url: str = "url") -> DataFrame:
+    """(host) of every different registered host in ``pages`` that has one of ``names`` as a label, under whatever domain.
+
+    A host counts from the name on, the last one if it has several; a name without a domain after it is no such host.
+    """
+    named = rf"(?s)^(?:.*\.)?((?:{'|'.join(map(re.escape, names))})\..+)$"
+    hosts = pages.select(F.regexp_extract(_parts(url)[0], named, 1).alias("host"))
+    return hosts.where(F.col("host") != "").distinct()
+
+
 def filter_urls(
     pages: DataFrame, entries: list[Entry], key: str = "page_id", url: str = "url", default: str = "allow", list_bytes: int = LIST_BYTES
 ) -> DataFrame:

@@ -406,6 +406,17 @@ def test_urls_by_array_and_by_join(spark):
     assert url_filter.filter_urls(pages.limit(0), entries).count() == 0
 
 
+def test_names_are_blocked_under_every_domain(spark, tmp_path):
+    hosts = ["m.casino-win.example.com", "adult-x.example.edu", "a.b.free-bets.co.uk", "spam-farm.example.info"]
+    clean = ["mycasino-win.example.com", "casino-win", "example.com"]
+    rows = [(i, f"http://{h}/zz?x") for i, h in enumerate([*hosts, *clean])] + [(90, None), (91, "http://casino-win.example.com/de/1")]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: r for r in queries.url_verdicts(spark, str(tmp_path)).collect()}
+    assert [found[i].verdict for i in range(len(rows) - 2)] == ["block"] * 4 + ["allow"] * 3 and found[90].verdict == "allow"
+    assert [found[i].entry for i in range(3)] == ["casino-win.example.com/", "adult-x.example.edu/", "free-bets.co.uk/"]
+    assert found[91].rule == "com/de/"  # rules go first
+
+
 def test_equal_digests_are_told_apart_by_their_strings(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda text: len(text))
     path = tmp_path / "list.bin"
