@@ -113,26 +113,28 @@ def rank_quality(
 ) -> DataFrame:
     """(key, held_out, score, predicted, strength) of every row of ``docs``.
 
-    Learns from labelled rows whose key is not held out, at most ``sample`` of each class (those of least key hash). Null and
+    Learns from different labelled rows whose key is not held out, at most ``sample`` of each class (those of least hash). Null and
     empty texts have features 0 and a score like any other; a null key has no label and is not held out; repeated rows get
-    equal scores, and each may enter the sample. Rows with a null label are not learned from. With only one class, or no
+    equal scores, and enter the sample once. Rows with a null label are not learned from. With only one class, or no
     labels, every score is 0.5.
     """
     scored = stored(with_features(docs, key, text), "features").withColumnRenamed(key, "doc")
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("doc")).agg(F.max(label).alias("label"))
-    learned = scored.where(~held_out("doc")).join(known, "doc").withColumn("hash", F.xxhash64("doc"))
+    learned = scored.where(~held_out("doc")).join(known, "doc")
     learned = stored(learned, "learned")
     shares = learned.agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad")).first()
     if not shares.good or not shares.bad:
         strength, bound = F.lit(0.0), 0.0
     else:
+        # each different row once; rows of one key have hashes of their own, so none enters or leaves with the others
+        different = stored(learned.select("doc", "label", "x").distinct().withColumn("hash", F.xxhash64("doc", "x")), "different")
         # hashes below these bounds are about ``sample`` rows of a class; the window then sees no more than that
-        most = {1: shares.good, 0: shares.bad}
-        few = learned.where("false")
+        most = {r.label: r["count"] for r in different.where("label IN (0, 1)").groupBy("label").count().toLocalIterator()}
+        few = different.where("false")
         for value, n in most.items():
             part = min(1.0, 1.2 * sample / n)
             few = few.unionByName(
-                learned.where((F.col("label") == value) & (F.pmod("hash", F.lit(1 << 20)) < int(part * (1 << 20))))
+                different.where((F.col("label") == value) & (F.pmod("hash", F.lit(1 << 20)) < int(part * (1 << 20))))
             )
         ordered = Window.partitionBy("label").orderBy("hash", "doc")
         few = few.withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") <= sample).drop("rank")

@@ -332,6 +332,20 @@ def test_quality_on_held_out_rows(spark):
     assert {r.score for r in quality_rank.rank_quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_a_repeated_key_enters_the_sample_once(spark, monkeypatch):
+    seen = []
+    pairs = quality_rank._pairs
+    monkeypatch.setattr(quality_rank, "_pairs", lambda few, partners: seen.extend(few.collect()) or pairs(few, partners))
+    good = [f"The {i} quick brown fox, which was late, jumps over the lazy dog number {i * 7}. It then rests." for i in range(60)]
+    bad = [f"### {i} *** buy %%% now $$$ {i} ### now now now now now" for i in range(60)]
+    key = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    docs = frame(spark, [*good, *bad]).union(spark.createDataFrame([(key, good[key])] * 400, "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    assert quality_rank.rank_quality(docs, labels, sample=30).count() == 520
+    taken = Counter(r.doc for r in seen if r.label == 1)
+    assert max(taken.values()) == 1 and len(taken) >= 15
+
+
 # --- licences ----------------------------------------------------------------------------------------------------
 
 
