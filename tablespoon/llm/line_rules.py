@@ -18,7 +18,16 @@ SHORT_LINE = 5  # words; a shorter line needs an end mark
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
-END_MARK = r"[.!?:;\x{2026}\"'\x{201D}\x{2019}\x{BB})\]][\x20\x09-\x0D]*$"
+# Latin marks, then sentence ends and closing marks of other scripts (CJK, full width, Arabic, Urdu, Devanagari, Armenian, Ethiopic,
+# Khmer, Myanmar, Tibetan)
+END_MARK = (
+    r"[.!?:;\x{2026}\"'\x{201D}\x{2019}\x{BB})\]"
+    r"\x{3002}\x{FF0E}\x{FF61}\x{FF01}\x{FF1F}\x{FF1A}\x{FF1B}\x{300D}\x{300F}\x{FF63}\x{FF09}\x{3011}\x{3009}\x{300B}\x{203C}\x{203D}\x{2047}-\x{2049}"
+    r"\x{061F}\x{061B}\x{06D4}\x{0964}\x{0965}\x{0589}\x{1362}\x{1367}\x{1368}\x{17D4}\x{17D5}\x{104A}\x{104B}\x{0F0D}\x{0F0E}]"
+    r"[\x20\x09-\x0D]*$"
+)
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+SHORT_UNSPACED = 10  # characters of a script without spaces that make up for SHORT_LINE words
 SEPARATOR = r"(?:^|\s)[|\x{BB}\x{203A}>\x{B7}\x{2022}](?=\s|$)"
 SEPARATED_SHARE = 4  # words for each separator, at most, make a menu
 STUTTER = r"(?:^|\s)(\S+)(?:\s+\1){4}(?=\s|$)"  # one word five times on end
@@ -45,7 +54,7 @@ def _fails(line: Column, n: Column) -> Column:
     """Whether a line with ``n`` words breaks a rule; one without words never does."""
     low = F.lower(line)
     symbols = F.regexp_count(line, F.lit(SYMBOL)) * 100 > F.length(line) * SYMBOL_PERCENT
-    unfinished = (n < SHORT_LINE) & ~line.rlike(END_MARK)
+    unfinished = (n < SHORT_LINE) & ~line.rlike(END_MARK) & (F.regexp_count(line, F.lit(UNSPACED)) < SHORT_UNSPACED)
     shouted = (n >= SHORT_LINE) & (F.upper(line) == line) & (low != line)
     separated = (n > SHORT_LINE) & (F.regexp_count(line, F.lit(SEPARATOR)) * SEPARATED_SHARE >= n)
     furniture = low.rlike(NAVIGATION) | low.rlike(BOILERPLATE)

@@ -226,6 +226,14 @@ def test_line_rules(spark):
     assert line_rules.kept_documents(docs.limit(0)).count() == 0
 
 
+def test_lines_of_other_scripts_end_with_their_marks(spark):
+    ends = ["这是一个完整的句子。", "本当ですか？", "とても良い！", "यह एक वाक्य है।", "هل هذا صحيح؟", "这一行没有标点但是并不是很短的一行"]
+    texts = ["\n".join(ends * 5), "菜单\n" + "\n".join(["这是一个完整的句子。"] * 3)]
+    found = {r.doc_id: r.rules for r in line_rules.judge_lines(frame(spark, texts)).collect()}
+    assert found[0].n_bad_lines == 0 and found[0].clean_text == texts[0]
+    assert found[1].n_bad_lines == 1 and "菜单" not in found[1].clean_text
+
+
 # --- personal data and secrets -----------------------------------------------------------------------------------
 
 
