@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, token_store, url_filter
+from tablespoon.llm import decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, suffix_dedup, token_store, url_filter
 from tablespoon.session import scratch_dir, stored
 
 
@@ -96,6 +96,12 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digest = F.sha2("kept_bytes", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
     "op2_personal_data": personal_data,
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_scan,
     "op9_url_verdicts": url_verdicts,
     "op10_decontamination": decontamination,
+    "op11_suffix_dedup": repeated_strings,
 }
 ORACLE: dict[str, str] = {
     "op6_line_cleaning": oracle.LINE_CLEANING,
