@@ -84,6 +84,35 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
 
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS words FROM piece),
+total AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+freq AS (
+  SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, k, words, unnest(range(1, len(words) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS v(k)
+        WHERE len(words) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM freq WHERE k > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.j, l.f AS l, r.f AS r,
+         CAST(CAST(c.f AS HUGEINT) * 2000000 // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN freq l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : c.j], ' ')
+  JOIN freq r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.j + 1 : c.k], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS rn FROM cut) WHERE rn = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i : i + m - 1], ' ') AS phrase, max(f) AS most
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand)) GROUP BY ALL),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
 
 def url_verdicts(rules, blocked_hosts) -> str:
     values = [f"('{text}', '{verdict}', 1)" for text, verdict in rules] + [f"('{h}/', 'block', 0)" for h in blocked_hosts]

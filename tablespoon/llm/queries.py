@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablespoon.llm import decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, suffix_dedup, token_store, url_filter
+from tablespoon.llm import collocations, decontaminate, licenses, line_rules, mixing, near_dup, oracle, pii, quality_rank, secret_scan, suffix_dedup, token_align, token_store, url_filter
 from tablespoon.session import scratch_dir, stored
 
 
@@ -102,6 +102,17 @@ def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), digest)
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_align.align_tokens(_table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": token_files,
     "op2_personal_data": personal_data,
@@ -114,6 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_verdicts": url_verdicts,
     "op10_decontamination": decontamination,
     "op11_suffix_dedup": repeated_strings,
+    "op12_collocations": phrases,
+    "op13_token_alignment": token_alignment,
 }
 ORACLE: dict[str, str] = {
     "op6_line_cleaning": oracle.LINE_CLEANING,
@@ -122,4 +135,5 @@ ORACLE: dict[str, str] = {
     ),
     "op9_url_verdicts": oracle.url_verdicts(URL_RULES, BLOCKED_HOSTS),
     "op10_decontamination": oracle.DECONTAMINATION,
+    "op12_collocations": oracle.COLLOCATIONS,
 }
