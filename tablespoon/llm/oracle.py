@@ -114,20 +114,22 @@ WHERE rank <= 2000
 """
 
 
-def url_verdicts(rules, blocked_hosts) -> str:
+def url_verdicts(rules, blocked_hosts, blocked_names) -> str:
     values = [f"('{text}', '{verdict}', 1)" for text, verdict in rules] + [f"('{h}/', 'block', 0)" for h in blocked_hosts]
     return rf"""
-WITH entry AS (
-  SELECT entry, verdict, is_rule, string_split(entry, '/')[1] AS h, substr(entry, instr(entry, '/')) AS p
-  FROM (VALUES {', '.join(values)}) AS v(entry, verdict, is_rule)),
-part AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
+WITH part AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN regexp_extract(substr(url, instr(url, '://') + 3), '(?s)^[^?#]*') ELSE '' END AS rest
   FROM pages),
 page AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM part),
+  SELECT page_id, translate(regexp_extract(rest, '(?s)^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(rest, length(regexp_extract(rest, '(?s)^[^/]*')) + 1) AS path FROM part),
+named AS (SELECT DISTINCT regexp_extract(host, '(?s)^(?:.*\.)?((?:{'|'.join(blocked_names)})\..+)$', 1) AS h FROM page),
+entry AS (
+  SELECT entry, verdict, is_rule, string_split(entry, '/')[1] AS h, substr(entry, instr(entry, '/')) AS p
+  FROM (SELECT * FROM (VALUES {', '.join(values)}) AS v(entry, verdict, is_rule)
+        UNION SELECT h || '/', 'block', 0 FROM named WHERE h <> '')),
 best AS (
-  SELECT page_id, arg_max(struct_pack(e := entry, v := verdict, r := is_rule), is_rule * 10000 + length(entry)) AS b
+  SELECT page_id, arg_max(struct_pack(e := entry, v := verdict, r := is_rule), is_rule * 10000000 + length(entry)) AS b
   FROM page JOIN entry ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
 SELECT page_id, host, path, CASE WHEN b.r = 1 THEN b.e END AS rule, coalesce(b.v, 'allow') AS verdict, b.e AS entry
 FROM page LEFT JOIN best USING (page_id)

@@ -73,12 +73,11 @@ BLOCKED_NAMES = tuple(h.split(".")[0] for h in BLOCKED_HOSTS)
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = [url_filter.Entry(text, verdict) for text, verdict in URL_RULES]
     pages = _table(spark, sf_dir, "pages")
+    entries = [url_filter.Entry(text, verdict) for text, verdict in URL_RULES]
+    entries += [url_filter.Entry(f"{host}/", "block", rule=False) for host in BLOCKED_HOSTS]
     listed = stored(url_filter.named_hosts(pages, BLOCKED_NAMES), "blocked")
-    blocked = sorted({*BLOCKED_HOSTS, *(r.host for r in listed.toLocalIterator())})
-    entries += [url_filter.Entry(f"{host}/", "block", rule=False) for host in blocked]
-    return url_filter.filter_urls(pages, entries)
+    return url_filter.filter_urls(pages, entries, blocked=listed)
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +132,7 @@ ORACLE: dict[str, str] = {
     "op8_license_scan": oracle.license_scan(
         licenses.TEMPLATES, licenses.CUE, licenses.WORD, licenses.LEAST_COSINE, licenses.FILE_SHARE
     ),
-    "op9_url_verdicts": oracle.url_verdicts(URL_RULES, BLOCKED_HOSTS),
+    "op9_url_verdicts": oracle.url_verdicts(URL_RULES, BLOCKED_HOSTS, BLOCKED_NAMES),
     "op10_decontamination": oracle.DECONTAMINATION,
     "op12_collocations": oracle.COLLOCATIONS,
 }

@@ -37,13 +37,14 @@ class Entry:
 
 
 def packed(entries: list[Entry]) -> bytes:
-    """The file: four counts, path lengths, keys, string ends, flags, strings."""
+    """The file: counts and the longest host, path lengths, keys, string ends, flags, strings."""
     ordered = sorted({e.text: e for e in sorted(entries, key=lambda e: (e.rule, e.verdict))}.values(), key=Entry.sort_key)
     strings = [e.text.encode() for e in ordered]
     lengths = sorted({len(e.text) - e.text.index("/") for e in ordered})
     flags = np.array([2 * e.rule + (e.verdict == "block") for e in ordered], dtype=np.int64)
     keys = np.array([e.sort_key()[0] for e in ordered], dtype="<u8")
-    head = np.array([len(ordered), len(lengths)], dtype="<i8")
+    longest = max((e.text.index("/") for e in ordered), default=0)
+    head = np.array([len(ordered), len(lengths), longest], dtype="<i8")
     ends = np.cumsum([0, *map(len, strings)]).astype("<i8")
     return b"".join([head.tobytes(), np.array(lengths, "<i8").tobytes(), keys.tobytes(), ends.tobytes(), flags.tobytes(), *strings])
 
@@ -53,9 +54,9 @@ class DigestArray:
 
     def __init__(self, path: str):
         raw = np.memmap(path, dtype=np.uint8, mode="r")
-        n, lengths = (int(x) for x in raw[:16].view("<i8"))
-        self.path_lengths = raw[16 : 16 + 8 * lengths].view("<i8").tolist()
-        at = 16 + 8 * lengths
+        n, lengths, self.longest_host = (int(x) for x in raw[:24].view("<i8"))
+        self.path_lengths = raw[24 : 24 + 8 * lengths].view("<i8").tolist()
+        at = 24 + 8 * lengths
         self.keys = raw[at : at + 8 * n].view("<u8")
         self.ends = raw[at + 8 * n : at + 16 * n + 8].view("<i8")
         self.flags = raw[at + 16 * n + 8 : at + 24 * n + 8].view("<i8")
@@ -88,16 +89,19 @@ def split_url(url: str | None) -> tuple[str, str]:
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
 
 
-def _probes(host: str, path: str, lengths: list[int]) -> Iterator[str]:
+def _probes(host: str, path: str, lengths: list[int], longest: int) -> Iterator[str]:
+    """Suffixes of ``host`` no longer than the longest listed host, each with the prefixes of ``path`` that may be listed."""
     fitting = [path[:n] for n in lengths if n <= len(path)]
     if not host or not fitting:
         return
-    at = 0
-    while at >= 0:
+    at = 0 if len(host) <= longest else host.find(".", len(host) - longest - 1) + 1
+    while at or len(host) <= longest:
         suffix = host[at:]
         yield from (suffix + p for p in fitting)
         dot = host.find(".", at)
-        at = dot + 1 if dot >= 0 else -1
+        if dot < 0:
+            return
+        at = dot + 1
 
 
 def _judge(name: str, key: str, url: str, default: str):
@@ -108,7 +112,7 @@ def _judge(name: str, key: str, url: str, default: str):
             probes, row = [], []
             for i, (host, path) in enumerate(parts):
                 before = len(probes)
-                probes.extend(_probes(host, path, listed.path_lengths))
+                probes.extend(_probes(host, path, listed.path_lengths, listed.longest_host))
                 row += [i] * (len(probes) - before)
             best: dict[int, tuple] = {}
             for i, text, at in zip(row, probes, listed.find(probes).tolist()):
@@ -154,18 +158,31 @@ def named_hosts(pages: DataFrame, names, url: str = "url") -> DataFrame:
 
 
 def filter_urls(
-    pages: DataFrame, entries: list[Entry], key: str = "page_id", url: str = "url", default: str = "allow", list_bytes: int = LIST_BYTES
+    pages: DataFrame,
+    entries: list[Entry],
+    key: str = "page_id",
+    url: str = "url",
+    default: str = "allow",
+    list_bytes: int = LIST_BYTES,
+    blocked: DataFrame | None = None,
 ) -> DataFrame:
     """(key, host, path, rule, verdict, entry) of every row.
 
     The longest fitting rule decides; without one, the longest fitting entry of the method's own list; without that,
     ``default``. ``rule`` names the rule (null without), ``entry`` what decided. A null url, or one without ``://``, has an
     empty host and path and fits nothing; an entry listed twice counts as a rule if it is one anywhere, and as block if
-    its verdicts differ. Repeated rows are judged one by one.
+    its verdicts differ. Repeated rows are judged one by one; an empty table gives no rows. ``blocked`` is a table of (host)
+    that is listed as well, to be blocked with all its paths; it comes to the driver only if the list stays below
+    ``list_bytes``, and is joined as it is otherwise.
     """
+    size = sum(len(e.text.encode()) + 24 for e in entries)
+    if blocked is not None:
+        size += blocked.agg(F.coalesce(F.sum(F.octet_length("host") + 25), F.lit(0)).alias("n")).first().n
+    if size > list_bytes:
+        return joined_urls(pages, entries, key, url, default, blocked)
+    if blocked is not None:
+        entries = [*entries, *(Entry(f"{r.host}/", "block", rule=False) for r in blocked.toLocalIterator())]
     content = packed(entries)
-    if len(content) > list_bytes:
-        return joined_urls(pages, entries, key, url, default)
     kind = dict(pages.dtypes)[key]
     schema = f"`{key}` {kind}, host string, path string, rule string, verdict string, entry string"
     return pages.select(key, url).mapInArrow(_judge(_shared_file(pages.sparkSession, content), key, url, default), schema)
@@ -178,16 +195,31 @@ def _parts(url: str) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"(?s)^[^/]*(.*)$", 1)
 
 
-def joined_urls(pages: DataFrame, entries: list[Entry], key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
+def joined_urls(
+    pages: DataFrame,
+    entries: list[Entry],
+    key: str = "page_id",
+    url: str = "url",
+    default: str = "allow",
+    blocked: DataFrame | None = None,
+) -> DataFrame:
     """As :func:`filter_urls`, by a join of all probes with the list, for lists too long for a file on every machine."""
     spark = pages.sparkSession
-    merged = {e.text: e for e in sorted(entries, key=lambda e: (e.rule, e.verdict))}.values()
-    listed = spark.createDataFrame([(e.text, e.verdict, e.rule) for e in merged], "text string, verdict string, is_rule boolean")
-    lengths = F.array(*(F.lit(n) for n in sorted({len(e.text) - e.text.index("/") for e in merged})))
+    given = spark.createDataFrame([(e.text, e.verdict, e.rule) for e in entries], "text string, verdict string, is_rule boolean")
+    if blocked is not None:
+        given = given.unionByName(blocked.select(F.concat("host", F.lit("/")).alias("text"), F.lit("block").alias("verdict"), F.lit(False).alias("is_rule")))
+    listed = given.groupBy("text").agg(F.max(F.struct("is_rule", "verdict")).alias("e")).select("text", "e.*")
+    found = listed.select(F.instr("text", "/").alias("host"), F.length("text").alias("n")).agg(
+        F.coalesce(F.max("host") - 1, F.lit(0)).alias("longest"), F.collect_set(F.col("n") - F.col("host") + 1).alias("lengths")
+    ).first()  # path lengths of a list are few
+    lengths = F.array(*map(F.lit, sorted(found.lengths))) if found.lengths else F.array().cast("array<int>")
     host, path = _parts(url)
     rows = pages.select(key, host.alias("host"), path.alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 100_000), "."))
+    labels = F.split(F.right("host", F.lit(found.longest + 1)), r"\.")  # a suffix begins after a dot, or is the whole host
+    behind = F.when(F.size(labels) > 1, F.transform(F.sequence(F.lit(2), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    whole = F.when(F.length("host") <= found.longest, F.array("host"))
+    none = F.array().cast("array<string>")
+    suffixes = F.concat(F.coalesce(whole, none), F.coalesce(behind, none))
     fitting = F.filter(lengths, lambda n: n <= F.length("path"))
     probes = F.when(
         (F.length("host") > 0) & (F.size(fitting) > 0),
