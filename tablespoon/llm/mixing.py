@@ -4,7 +4,8 @@ Among all document rates between 0 and ``cap`` that give every source its target
 entropy to 1 are wanted. They are ``min(cap, exp(a * size / mean size))`` with one dual variable ``a`` per source, found
 by Newton iterations in Spark over a table of (source, size, number of documents). Rates are then rounded to whole copies:
 going from long to short documents, the rounding error of one size is carried to the next, so the words of a source end
-within about its shortest document of the target. Which documents of a size get the extra copy is decided by their hash.
+within about its shortest document of the target. Which documents of a size get the extra copy is decided by their hash,
+and among rows of one hash, as repeated rows are, by their row number.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from tablespoon.session import stored
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 SHARE = 1.5  # of all words
 CAP = 2.0  # copies of a document, and words of a source as a multiple
-ROUNDS = 60
-TOLERANCE = 1e-5  # of a target
+ROUNDS = 200  # halving alone would need about 60; a source that is open after these is an error
+TOLERANCE = 1e-5  # of a target, or of a word
+_DIGIT = 16  # bits of a number by which a cut is narrowed down at once
 _EXACT = "decimal(38,6)"  # sums that do not depend on the order of rows
 
 
@@ -55,7 +57,8 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
     """(source, a, mean): the dual solution of every source; ``a`` is null where all rates are ``cap``.
 
     Each round sums gradient and curvature per source, takes the Newton step, or halves the bracket where the step
-    leaves it. Sums are exact decimals, so reruns agree.
+    leaves it. Sums are exact decimals, so reruns agree. Ends when every source is within ``TOLERANCE`` of its target, or its
+    bracket is as narrow as a double can tell.
     """
     same = F.col("c.source").eqNullSafe(F.col("s.source"))
     moments = cells.groupBy("source").agg(
@@ -77,9 +80,11 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
     )
     # one row per source, rewritten each round as one file
     state = stored(start.withColumn("open", F.col("target").isNotNull()).coalesce(1), "dual")
-    for _ in range(ROUNDS):
+    for done in range(ROUNDS + 1):
         if state.where("open").isEmpty():
             break
+        if done == ROUNDS:
+            raise RuntimeError(f"no dual solution after {ROUNDS} rounds")
         x = F.col("c.size") / F.col("s.mean")
         rate = F.exp(F.least(F.col("s.a") * x, F.lit(700.0)))
         words = F.col("c.size") * F.col("c.n")
@@ -96,7 +101,7 @@ def balanced_rates(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> Da
         moved = joined.select(
             "s.source", "s.target", "s.mean", "s.a", low.alias("low"), high.alias("high"),
             (F.col("s.a") - gap / F.when(F.col("g.slope") > 0, F.col("g.slope"))).alias("step"),
-            (F.col("s.open") & (F.abs(gap) > F.col("s.target") * TOLERANCE)).alias("open"),
+            (F.col("s.open") & (F.abs(gap) > F.greatest("s.target", F.lit(1.0)) * TOLERANCE) & (high - low > 1e-13)).alias("open"),
         )
         inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
         wider = F.when(F.col("high") == float("inf"), F.col("low") + F.abs("low") + 1).when(
@@ -127,10 +132,10 @@ def _whole_copies(cap: float):
 
 
 def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> tuple[DataFrame, DataFrame]:
-    """(targets, plan) for ``documents`` with (source, size, hash).
+    """(targets, plan) for ``documents`` with (source, size, hash, row).
 
-    The plan has one row per source and size: every document gets ``low`` copies, and one more if its hash is at most
-    ``cut``. Rows with equal hash share their fate.
+    The plan has one row per source and size: every document gets ``low`` copies, and one more if its hash is below ``cut``,
+    or is ``cut`` and its row number is at most ``row_cut``. ``row`` is different in every row.
     """
     # at most one row per source and different size: as many files as there are cores, not as shuffle partitions
     tasks = documents.sparkSession.sparkContext.defaultParallelism
@@ -149,52 +154,75 @@ def copy_plan(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
         _whole_copies(cap), f"source {kind}, size long, n long, low long, extra long"
     )
     whole = stored(whole.coalesce(tasks), "copies")
-    part = whole.where("extra > 0 AND extra < n").select("source", "size", "extra")
-    bucket = F.shiftrightunsigned("d.hash", 52).cast("int")  # the hash as unsigned: bucket order is hash order
-    same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
-    open_ = documents.alias("d").join(part.alias("p"), same).select("p.source", "p.size", "d.hash", bucket.alias("bucket"), "extra")
-    counts = open_.groupBy("source", "size", "bucket", "extra").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    crossing = counts.withColumn("need", F.col("extra") - F.coalesce(F.sum("n").over(ahead), F.lit(0))).where(
-        "need > 0 AND need <= n"
-    )
-    crossing = stored(crossing.select("source", "size", "bucket", "need"), "crossing")
-    inside = open_.alias("o").join(
-        crossing.alias("x"),
-        F.col("o.source").eqNullSafe(F.col("x.source")) & (F.col("o.size") == F.col("x.size")) & (F.col("o.bucket") == F.col("x.bucket")),
-    ).select("x.source", "x.size", "o.hash", "need")
-    ranked = inside.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("source", "size").orderBy(_unsigned("hash")))
-    )
-    cuts = ranked.where("rank = need").select("source", "size", F.col("hash").alias("cut"))
-    top = F.lit(-1).cast("long")  # the largest hash as an unsigned number
-    plan = whole.alias("w").join(
-        cuts.alias("k"), F.col("w.source").eqNullSafe(F.col("k.source")) & (F.col("w.size") == F.col("k.size")), "left"
-    ).select(
-        "w.source", "w.size", "w.low",
-        F.when(F.col("w.extra") >= F.col("w.n"), top).when(F.col("w.extra") > 0, F.col("k.cut")).alias("cut"),
+    part = whole.where("extra > 0 AND extra < n").select("source", "size", F.col("extra").alias("need"))
+    cuts = _smallest(documents, part, "hash")
+    ties = cuts.where("need < n").select("source", "size", "need", F.col("value").alias("hash"))
+    rows = _smallest(documents, ties, "row")
+    last = F.lit(-1).cast("long")  # the largest of the numbers read as unsigned
+    plan = (
+        whole.alias("w")
+        .join(cuts.alias("k"), _same_cell("w", "k"), "left")
+        .join(rows.alias("r"), _same_cell("w", "r"), "left")
+        .select(
+            "w.source", "w.size", "w.low",
+            F.when(F.col("w.extra") >= F.col("w.n"), last).when(F.col("w.extra") > 0, F.col("k.value")).alias("cut"),
+            F.coalesce("r.value", last).alias("row_cut"),
+        )
     )
     return targets, stored(plan.coalesce(tasks), "plan")
 
 
-def _unsigned(hash_: str) -> Column:
-    """An order-preserving form of a hash read as an unsigned number."""
-    return F.col(hash_).bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+def _same_cell(a: str, b: str) -> Column:
+    return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.size") == F.col(f"{b}.size"))
+
 
+def _smallest(documents: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """(source, size, value, need, n): the ``value`` of ``column`` that the ``need``-th smallest row of a cell has.
 
-def copies(low: str, cut: str, hash_: str) -> Column:
-    return F.col(low) + F.coalesce((_unsigned(hash_) <= _unsigned(cut)).cast("long"), F.lit(0))
+    ``need`` becomes the number of rows with that value that are needed, ``n`` counts all of them. ``wanted`` has (source,
+    size, need), and the hash that rows must have where row numbers are cut. The value is found digit by digit: rows are
+    counted by the next ``_DIGIT`` bits and only those of the digit where ``need`` is reached go on. No group is sorted.
+    """
+    keys = ["source", "size", *(c for c in wanted.columns if c == "hash")]
+    found = wanted.select(*keys, "need", F.lit(0).cast("long").alias("value"), F.lit(0).cast("long").alias("n"))
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        found = stored(found.coalesce(1) if shift == 64 - _DIGIT else found, "digits")
+        on = _same_cell("d", "f")
+        if "hash" in keys:
+            on &= F.col("d.hash") == F.col("f.hash")
+        if shift < 64 - _DIGIT:
+            on &= F.shiftrightunsigned(f"d.{column}", shift + _DIGIT) == F.col("f.value")
+        digit = F.shiftrightunsigned(f"d.{column}", shift).alias("value")
+        rows = documents.alias("d").join(found.alias("f"), on).select(*(F.col(f"f.{k}") for k in keys), "f.need", digit)
+        counts = rows.groupBy(*keys, "need", "value").agg(F.count("*").alias("n"))
+        # at most 2**16 digits of a cell
+        ahead = Window.partitionBy("source", "size").orderBy(_unsigned("value")).rowsBetween(Window.unboundedPreceding, -1)
+        left = counts.withColumn("need", F.col("need") - F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+        found = left.where("need > 0 AND need <= n").select(*keys, "need", "value", "n")
+    return stored(found, "digits")
+
+
+def _unsigned(number: str) -> Column:
+    """An order-preserving form of a number read as unsigned."""
+    return F.col(number).bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
+
+
+def copies(low: str, cut: str, hash_: str, row_cut: str = "row_cut", row: str = "row") -> Column:
+    below = _unsigned(hash_) < _unsigned(cut)
+    tied = (F.col(hash_) == F.col(cut)) & (_unsigned(row) <= _unsigned(row_cut))
+    return F.col(low) + F.coalesce((below | tied).cast("long"), F.lit(0))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """(key, size, source_size, target, taken) of every row; ``taken`` is copies times size.
 
     Null and empty texts have size 0 and take nothing. A null source is a source of its own, the last one. Repeated rows
-    are copied alike. An empty table gives no rows.
+    count one by one: as many of them get another copy as the target needs. An empty table gives no rows.
     """
     documents = docs.select(
-        F.col(key).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(key, text).alias("hash")
-    )
+        F.col(key).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(key, text).alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     documents = stored(documents, "sizes")
     targets, plan = copy_plan(documents, **options)
     targets = targets.withColumnRenamed("source", "its")
@@ -206,12 +234,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 def _planned(documents: DataFrame, plan: DataFrame) -> DataFrame:
     """``documents`` with their row of the plan; a size that very many share is a skewed join key that Spark splits."""
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
-    return documents.alias("d").join(plan.alias("p"), same).select("d.*", "p.low", "p.cut")
+    return documents.alias("d").join(plan.alias("p"), same).select("d.*", "p.low", "p.cut", "p.row_cut")
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """Rows of ``docs``, all columns as they are, each as often as the mix takes it (0 to ``cap`` times)."""
-    narrow = [F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(key, text).alias("hash")]
+    """Rows of ``docs``, all columns as they are, each as often as the mix takes it (0 to ``cap`` times).
+
+    Row numbers tell repeated rows apart, so ``docs`` must be a table that gives its rows in the same order when read again.
+    """
+    narrow = [
+        F.col(source).alias("source"), word_count(text).alias("size"), F.xxhash64(key, text).alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
     _, plan = copy_plan(stored(docs.select(*narrow), "sizes"), **options)
     rows = _planned(docs.select(F.struct("*").alias("doc"), *narrow), plan)
     repeated = rows.select("doc", F.explode(F.array_repeat(F.lit(1), copies("low", "cut", "hash").cast("int"))).alias("copy"))
