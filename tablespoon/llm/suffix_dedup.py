@@ -247,25 +247,57 @@ def merged(shards: list, rounds: int):
     Returns (slots in merged order, with the shards' slots numbered one after the other; common prefix in symbols of each
     slot and the one before, ``rounds`` where it is longer). The interleave starts as one shard after the other. A round
     deals the slots, in their order so far, into the symbols that stand before them, and steps to the suffixes that start
-    with these; the order within a shard never changes beyond what its transform says.
+    with these; the order within a shard never changes beyond what its transform says. Once few slots change their block
+    in a round, only the suffixes before these are looked at.
     """
     base = np.cumsum([0, *(len(s[0]) for s in shards)])
     symbol = np.concatenate([s[0] for s in shards])
-    step = np.concatenate([s[1] + b for s, b in zip(shards, base)])
-    order = np.arange(len(symbol))
-    block = np.zeros(len(symbol), dtype=np.int32)
-    common = np.full(len(symbol), rounds, dtype=np.int64)
-    for done in range(rounds):
+    step = np.concatenate([s[1] + b for s, b in zip(shards, base)]).astype(np.int32)
+    n, done = len(symbol), 0
+    order, place = np.arange(n, dtype=np.int32), np.arange(n, dtype=np.int32)
+    first = np.zeros(n, dtype=np.int32)  # of the block, by place
+    common = np.full(n, rounds, dtype=np.int16)
+    changed = np.ones(n, dtype=bool)
+    while done < rounds and 8 * int(changed.sum()) > n:
         seen = symbol[order]
         dealt = np.argsort(seen, kind="stable")  # 16-bit numbers: a counting sort
-        seen, block = seen[dealt], block[dealt]
+        seen, block = seen[dealt], first[dealt]
         order = step[order[dealt]]
-        parted = np.empty(len(seen), dtype=bool)
+        parted = np.empty(n, dtype=bool)
         parted[:1] = True
         parted[1:] = (seen[1:] != seen[:-1]) | (block[1:] != block[:-1])
         common[parted & (common == rounds)] = done
-        block = np.cumsum(parted, dtype=np.int32)
-    return order, common
+        new = np.maximum.accumulate(np.where(parted, place, 0))
+        changed = new != first
+        first, done = new, done + 1
+    block = np.empty(n, dtype=np.int32)
+    block[order] = first
+    size = np.bincount(first, minlength=n)
+    moved = order[changed]
+    while done < rounds and len(moved):
+        before = step[moved]
+        old, key = block[before], block[moved]
+        some = size[old] > 1
+        before, old, key = before[some], old[some], key[some]
+        sort = np.argsort(old.astype(np.int64) * n + key)
+        before, old, key = before[sort], old[sort], key[sort]
+        head = np.flatnonzero(np.concatenate([[True], (old[1:] != old[:-1]) | (key[1:] != key[:-1])])) if len(old) else sort
+        many = np.diff(np.append(head, len(old)))
+        its = old[head]
+        lead = np.concatenate([[True], its[1:] != its[:-1]]) if len(its) else np.zeros(0, dtype=bool)
+        ahead = np.cumsum(many) - many  # slots of earlier parts of the block
+        ahead -= np.repeat(ahead[lead], np.diff(np.append(np.flatnonzero(lead), len(lead))))
+        total = np.add.reduceat(many, np.flatnonzero(lead)) if len(its) else many
+        kept = np.repeat(size[its[lead]] - total, np.diff(np.append(np.flatnonzero(lead), len(lead))))  # unmoved ones come first
+        new = its + kept + ahead
+        fresh = new != its
+        size[its[lead]] = np.where(size[its[lead]] > total, size[its[lead]] - total, many[lead])
+        size[new[fresh]] = many[fresh]
+        common[new[fresh]] = done
+        block[before] = np.repeat(new, many)
+        moved = before[np.repeat(fresh, many)]
+        done += 1
+    return np.argsort(block, kind="stable"), common
 
 
 def repeats(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES):
