@@ -91,7 +91,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int):
         return np.zeros(0, dtype=np.uint64), none, none, none
     place = (least[starts] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     head = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-    return hashes[place[head]], place[head], starts[head], np.diff(np.append(head, len(starts)))
+    # least hashes share their leading bits, which the bitmaps go by, so they are mixed again
+    return mix64(hashes[place[head]] ^ _BASE), place[head], starts[head], np.diff(np.append(head, len(starts)))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], text: str, length: int):
