@@ -25,7 +25,7 @@ WINDOW = 13
 TEST_BLOCK_BYTES = 16 << 20
 _ROW = "__row"
 
-_FOUND = "n_words long, n_hit long, items array<string>, matches array<struct<item:string,start:long,length:long>>"
+_FOUND = "n_words long, n_hit long, longest long, items array<string>, matches array<struct<item:string,start:long,length:long>>"
 
 
 @dataclass
@@ -111,18 +111,34 @@ def _edge(text: np.ndarray, array: np.ndarray, low: np.ndarray, high: np.ndarray
         high = np.where(open_ & ~up, mid, high)
 
 
-def locate(text: np.ndarray, array: np.ndarray, tests: TestSet, window: int):
-    """Slots of the array that start with a window of an item, and the longest match of every test suffix.
+@dataclass
+class Located:
+    """Where the suffixes of a test set stand in a suffix array; ranges are [first, last) slots."""
+
+    windows: np.ndarray  # distinct (first, last, words) of the windows that occur
+    owner: np.ndarray  # (index in ``windows``, label) of every item with that window
+    longest: np.ndarray  # of every test suffix: words of its longest match
+    depth: np.ndarray  # of every slot: words of the longest match with any test suffix
+    ranges: np.ndarray  # (depth, first) of all matched ranges, sorted
+    label: np.ndarray  # of each: the first label of the items that have it
+
 
-    Returns (item, offset, first slot, last slot + 1) of all windows that occur, and the longest match by test position.
+def locate(text: np.ndarray, array: np.ndarray, tests: TestSet, window: int) -> Located:
+    """Finds all test suffixes at once, one word deeper in each round, so each ends with its longest match.
+
+    Suffixes that agree so far share one range. The ranges of a round are disjoint and lie inside those of the round
+    before, so a slot's longest match is the number of ranges around it: no match is spelled out by its places.
     """
     item = np.repeat(np.arange(len(tests.size)), tests.size)
     offset = np.arange(len(item)) - np.repeat(np.cumsum(tests.size) - tests.size, tests.size)
+    by_label = np.argsort(tests.label[item], kind="stable")  # the first of equal ranges has the first label
+    item, offset = item[by_label], offset[by_label]
     at = tests.begin[item] + offset
     low, high = np.zeros(len(at), dtype=np.int64), np.full(len(at), len(array), dtype=np.int64)
     need = np.minimum(tests.size, window)[item]
     longest = np.zeros(len(at), dtype=np.int64)
-    hits = [np.zeros((0, 4), dtype=np.int64)]
+    hits, ranges, labels = [np.zeros((0, 4), dtype=np.int64)], [np.zeros((0, 2), dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    change = np.zeros(len(array) + 1, dtype=np.int64)
     active, deep = np.arange(len(at)), 0
     while len(active):
         word = tests.text[at[active] + deep]
@@ -134,10 +150,22 @@ def locate(text: np.ndarray, array: np.ndarray, tests: TestSet, window: int):
         low[active], high[active] = first[alive], last[alive]
         deep += 1
         longest[active] = deep
+        begin, lead = np.unique(low[active], return_index=True)
+        change[begin] += 1
+        np.subtract.at(change, high[active[lead]], 1)
+        ranges.append(np.stack([np.full(len(begin), deep), begin], axis=1))
+        labels.append(tests.label[item[active[lead]]])
         full = active[need[active] == deep]
         full = full[(tests.size[item[full]] >= window) | (offset[full] == 0)]
-        hits.append(np.stack([item[full], offset[full], low[full], high[full]], axis=1))
-    return np.concatenate(hits), longest
+        hits.append(np.stack([low[full], high[full], need[full], tests.label[item[full]]], axis=1))
+    windows, owner = np.unique(np.concatenate(hits), axis=0), np.zeros((0, 2), dtype=np.int64)
+    if len(windows):
+        fresh = np.concatenate([[True], (windows[1:, :3] != windows[:-1, :3]).any(axis=1)])
+        owner = np.stack([np.cumsum(fresh) - 1, windows[:, 3]], axis=1)
+        windows = windows[fresh]
+    back = np.empty(len(at), dtype=np.int64)
+    back[by_label] = longest
+    return Located(windows[:, :3], owner, back, np.cumsum(change[:-1]), np.concatenate(ranges), np.concatenate(labels))
 
 
 def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -147,11 +175,16 @@ def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def search_shard(words: np.ndarray, rows: np.ndarray, tests: TestSet, window: int):
-    """Of each row: number of hit words, items (as numbers), and maximal matches (row, item, first word, length)."""
+    """Of each row: hit words, longest match; then (row, label) of the items and (row, label, first word, length) of matches.
+
+    A text place belongs to one window of ``window`` words and at most one of each smaller size, so places and matches
+    grow with the text, however often a window repeats in text and items.
+    """
     n = len(rows) - 1
     size = np.diff(rows)
     if len(tests.vocabulary) == 0 or len(words) == 0:
-        return np.zeros(n, dtype=np.int64), np.zeros((0, 2), dtype=np.int64), np.zeros((0, 4), dtype=np.int64)
+        none = np.zeros(n, dtype=np.int64)
+        return none, none, np.zeros((0, 2), dtype=np.int64), np.zeros((0, 4), dtype=np.int64)
     slot = np.searchsorted(tests.vocabulary, words)
     slot[slot == len(tests.vocabulary)] = 0
     number = np.where(tests.vocabulary[slot] == words, slot + 1, 0)
@@ -159,27 +192,50 @@ def search_shard(words: np.ndarray, rows: np.ndarray, tests: TestSet, window: in
     text = np.zeros(len(words) + n + int(tests.size.max()) + 1, dtype=np.int64)
     text[np.arange(len(words)) + np.repeat(np.arange(n), size)] = number
     array = suffix_array(text, int(tests.size.max()))
-    hits, _ = locate(text, array, tests, window)
-    many = hits[:, 3] - hits[:, 2]
-    place = array[_spread(hits[:, 2], hits[:, 3])]
-    item, offset = np.repeat(hits[:, 0], many), np.repeat(hits[:, 1], many)
-    length = np.minimum(tests.size[item], window)
+    found = locate(text, array, tests, window)
+    depth = np.zeros(len(text) + 1, dtype=np.int64)
+    depth[array] = found.depth
+    place_slot = np.zeros(len(text) + 1, dtype=np.int64)
+    place_slot[array] = np.arange(len(array))
+
+    many = found.windows[:, 1] - found.windows[:, 0]
+    place = array[_spread(found.windows[:, 0], found.windows[:, 1])]
+    which = np.repeat(np.arange(len(found.windows)), many)
+    length = found.windows[which, 2]
     change = np.bincount(place, minlength=len(text) + 1) - np.bincount(place + length, minlength=len(text) + 1)
     hit = np.concatenate([[0], np.cumsum(np.cumsum(change)[: len(text)] > 0)])
     row = np.searchsorted(begin, place, side="right") - 1
-    # windows of one item on one diagonal, one word apart, are one verbatim match
-    order = np.lexsort((place, place - offset, item, row))
-    row, item, place, offset, length = (x[order] for x in (row, item, place, offset, length))
-    fresh = np.ones(len(row), dtype=bool)
-    if len(row):
-        fresh[1:] = (
-            (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1) | (offset[1:] != offset[:-1] + 1)
-        )
-    head = np.flatnonzero(fresh)
-    run = np.diff(np.append(head, len(row)))
-    matches = np.stack([row[head], item[head], place[head] - begin[row[head]], length[head] + run - 1], axis=1)
-    matches[:, 1] = tests.label[matches[:, 1]]
-    return hit[begin + size] - hit[begin], np.unique(matches[:, :2], axis=0), matches
+    # rows and items of a window, each once
+    pairs = np.unique((which << 32) | row)
+    which_row, its_row = pairs >> 32, pairs & 0xFFFFFFFF
+    first, last = (np.searchsorted(found.owner[:, 0], which_row, side=s) for s in ("left", "right"))
+    owners = np.stack([np.repeat(its_row, last - first), found.owner[_spread(first, last), 1]], axis=1)
+    # a match of a window or more is told where it begins: the place before has none that goes as far
+    whole = length == window
+    starts = place[whole]
+    starts = starts[depth[np.maximum(starts - 1, 0)] * (starts > 0) != depth[starts] + 1]
+    matches = [_matches(starts, depth[starts], _labels(found, depth[starts], place_slot[starts]), begin)]
+    if not whole.all():  # items of fewer words
+        short = ~whole
+        names = found.owner[np.searchsorted(found.owner[:, 0], which[short]), 1]
+        matches.append(_matches(place[short], length[short], names, begin))
+    matches = np.unique(np.concatenate(matches), axis=0)
+    best = np.zeros(n, dtype=np.int64)
+    some = size > 0
+    best[some] = np.maximum.reduceat(depth[: len(text)], begin)[some]
+    return hit[begin + size] - hit[begin], best, np.unique(owners, axis=0), matches
+
+
+def _labels(found: Located, depth: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """First label of the range of each slot at its depth."""
+    width = np.int64(len(found.depth) + 1)
+    keys = found.ranges[:, 0] * width + found.ranges[:, 1]
+    return found.label[np.searchsorted(keys, depth * width + slot, side="right") - 1]
+
+
+def _matches(start: np.ndarray, length: np.ndarray, label: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    row = np.searchsorted(begin, start, side="right") - 1
+    return np.stack([row, label, start - begin[row], length], axis=1)
 
 
 def _annotate(tests, text: str, keep: list[str], window: int):
@@ -187,7 +243,7 @@ def _annotate(tests, text: str, keep: list[str], window: int):
         known = tests.value
         for block in blocks(batches, text):
             words = hashed_words(block.data, block.bounds, ALNUM)
-            hit, pairs, matches = search_shard(words.hashes, words.rows, known, window)
+            hit, longest, pairs, matches = search_shard(words.hashes, words.rows, known, window)
             n = block.rows.num_rows
             bounds = np.searchsorted(pairs[:, 0], np.arange(n + 1))
             items = pa.ListArray.from_arrays(
@@ -206,10 +262,11 @@ def _annotate(tests, text: str, keep: list[str], window: int):
             columns += [
                 pa.array(np.diff(words.rows), pa.int64()),
                 pa.array(hit, pa.int64()),
+                pa.array(longest, pa.int64()),
                 items,
                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "n_words", "n_hit", "items", "matches"])
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "n_words", "n_hit", "longest", "items", "matches"])
 
     return run
 
@@ -226,9 +283,11 @@ def verbatim_matches(
 ) -> DataFrame:
     """``docs[keep]`` with its verbatim matches of benchmark items.
 
-    Added columns: ``n_words``; ``n_hit`` (words inside an occurrence of a window of an item); ``items`` (ids of items
-    with such windows, as text, sorted as text); ``matches`` (maximal runs: item, first word, length). They replace
-    columns of ``docs`` with the same name.
+    Added columns: ``n_words``; ``n_hit`` (words inside an occurrence of a window of an item); ``longest`` (words of the
+    longest verbatim match with any item, also where it is shorter than a window); ``items`` (ids of items with such
+    windows, as text, sorted as text); ``matches`` (item, first word, length): from each place on that a window begins at,
+    the longest match with any item, unless it is the rest of a match from the place before, told with the first of the
+    items that have it; and each occurrence of an item of fewer words. They replace columns of ``docs`` with the same name.
 
     An item of fewer words than ``window`` is one window, an item without words matches nothing. Null texts have no
     words; null item ids are called ``null``; repeated rows are judged one by one; repeated items with one id count
@@ -237,7 +296,7 @@ def verbatim_matches(
     The test set is broadcast in blocks of at most ``test_block_bytes`` of text (or one item). A larger set takes several
     passes, each with one block in memory; the passes' hits are put together by row.
     """
-    own = ["n_words", "n_hit", "items", "matches", _ROW]
+    own = ["n_words", "n_hit", "longest", "items", "matches", _ROW]
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in own]
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"),
@@ -282,6 +341,7 @@ def _merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
         both = both.unionByName(one)
     merged = both.groupBy(_ROW).agg(
         *(F.any_value(c).alias(c) for c in [*keep, "n_words"]),
+        F.max("longest").alias("longest"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"),
     )
@@ -295,7 +355,7 @@ def _merged(passes: list[DataFrame], keep: list[str]) -> DataFrame:
         ),
         lambda s: s.n,
     )
-    return merged.select(*keep, "n_words", covered.alias("n_hit"), "items", "matches")
+    return merged.select(*keep, "n_words", covered.alias("n_hit"), "longest", "items", "matches")
 
 
 def contaminated(n_hit, n_words):
