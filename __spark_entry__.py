@@ -88,6 +88,13 @@ def _csv_scan(w: Warehouse) -> DataFrame:
     return load_landing(w.spark, path, "csv", LANDING_SCHEMAS["order_items"]).drop("PRINTED_CARD_NUMBER")
 
 
+def _quoted_csv(w: Warehouse) -> DataFrame:
+    """Item names that hold a comma, a newline and a quote, written and scanned by blocks."""
+    path = scratch_dir(w.spark, "landing-quoted")
+    w.landing("order_items").withColumn("ITEM_NAME", F.expr(X.QUOTED_NAME)).write.option("header", "true").csv(path)
+    return load_landing(w.spark, path, "csv", LANDING_SCHEMAS["order_items"]).drop("PRINTED_CARD_NUMBER")
+
+
 def _parquet_scan(w: Warehouse) -> DataFrame:
     path = scratch_dir(w.spark, "landing-parquet")
     w.landing("order_item_options").write.parquet(path)
@@ -309,10 +316,11 @@ def _types(w: Warehouse) -> DataFrame:
 _QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {
     # sources and sinks
     "s1_csv_scan": lambda w, d: _csv_scan(w),
+    "s1_quoted_csv": lambda w, d: _quoted_csv(w),
     "s2_parquet_scan": lambda w, d: _parquet_scan(w),
     "s4_layer_scan": lambda w, d: _options(w),
     "s5_sink_roundtrip": lambda w, d: _round_trip(w, _orders(w), "gold", "fct_order_summary", ["date_key_month"]),
-    "s8_latest_date": lambda w, d: C.latest_date(w.gold("fct_customer_daily_snapshot")),
+    "s8_latest_date": lambda w, d: C.latest_date(w.with_months("gold", "fct_customer_daily_snapshot")),
     "s9_latest_snapshot": lambda w, d: C.latest_snapshot(w.with_months("gold", "fct_customer_daily_snapshot")),
     # landing to bronze
     "b1_ingest_stamp": lambda w, d: B.with_ingestion_ts(

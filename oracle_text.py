@@ -263,6 +263,7 @@ _TIME = "epoch_ms(order_timestamp) AS order_timestamp_ms"
 _NOT_TIME = "* EXCLUDE (order_timestamp)"
 
 FINAL = {
+    "s1_quoted_csv": f"SELECT * EXCLUDE (PRINTED_CARD_NUMBER) REPLACE ({X.QUOTED_NAME} AS ITEM_NAME) FROM landing_items",
     "s1_csv_scan": "SELECT * EXCLUDE (PRINTED_CARD_NUMBER) FROM landing_items",
     "s2_parquet_scan": "SELECT * FROM landing_options",
     "s4_layer_scan": "SELECT * FROM so",

@@ -51,6 +51,8 @@ ITEM_COLUMNS = {
     " ELSE CAST(CAST(l_quantity AS INT) AS STRING) END",
 }
 
+QUOTED_NAME = "CASE WHEN ORDER_ID LIKE '%3' THEN ITEM_NAME || ',' || chr(10) || '\"' || ITEM_QUANTITY || '\"' ELSE ITEM_NAME END"
+
 _OPTION_HEAD = {"ORDER_ID": "CAST(l_orderkey AS STRING)", "LINEITEM_ID": _LINE_KEY}
 _OPTION_TAIL = {"OPTION_QUANTITY": "CAST(1 + l_linenumber % 3 AS STRING)"}
 

@@ -3,11 +3,14 @@
 A customer's state only changes on days with an order. The work is therefore done on order days: running sums
 and the next order day come from one window over them, and each order day then unfolds into the calendar days
 it stays valid for. The customer x day rows are produced by that last step only and flow to the sink without a
-join, shuffle or sort of their own; a sink partitioned by day then brings the rows of a day together.
+join, shuffle or sort of their own: for a table in month folders the order days are cut at month bounds and dealt by
+month while they are still sparse.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ from ..functions.expressions import churn_flag, to_gold_money, zero_if_null
 from ..functions.selection import log_bucket, order_statistics, rank_of_fraction, reaches, thresholds
 from ..session import pin
 
+ROWS_PER_TASK = 4_000_000  # customer x day rows that one task writes
+
 SNAPSHOT_COLUMNS = [
     "user_id", "date_key", "is_loyalty", "daily_order_count", "daily_gross_revenue", "daily_net_revenue",
     "daily_discount_amount", "cumulative_order_count", "cumulative_ltv", "days_since_last_order",
@@ -121,13 +126,13 @@ def _final_values(totals: DataFrame) -> DataFrame:
     )
 
 
-def unfold_days(totals: DataFrame) -> DataFrame:
+def unfold_days(totals: DataFrame, *extra: str) -> DataFrame:
     """Order days to calendar days. Amounts of the day show on the order day only; totals hold until the next."""
     days = totals.withColumn("date_key", F.explode(_every_day(F.col("valid_from"), F.col("valid_to"))))
-    return _state_on_day(days)
+    return _state_on_day(days, *extra)
 
 
-def _state_on_day(days: DataFrame) -> DataFrame:
+def _state_on_day(days: DataFrame, *extra: str) -> DataFrame:
     """Snapshot columns, and the bucket of the lifetime value, of rows that carry ``date_key`` and the order day
     valid on it. Before that order day, and without one, everything is zero."""
     day, order_day, no_money = F.col("date_key"), F.col("order_day"), to_gold_money(F.lit(0))
@@ -143,6 +148,7 @@ def _state_on_day(days: DataFrame) -> DataFrame:
         F.when(started, F.datediff(day, "last_order_so_far")).alias("days_since_last_order"),
         F.when(started, F.col("avg_order_gap_days")).alias("avg_order_gap_days"),
         F.when(started, F.col("ltv_bucket")).otherwise(log_bucket(F.lit(0))).alias("ltv_bucket"),
+        *extra,
     )
 
 
@@ -221,20 +227,60 @@ def with_churn_flag(days: DataFrame, active_days: int = 30, at_risk_days: int =
     return days.withColumn("churn_risk_flag", churn_flag(F.col("days_since_last_order"), active_days, at_risk_days))
 
 
-def fct_customer_daily_snapshot(customers: DataFrame, dates: DataFrame, orders: DataFrame) -> DataFrame:
+def within_months(totals: DataFrame) -> DataFrame:
+    """Order days with their validity cut at month bounds: a row per order day and month, with ``date_key_month``."""
+    months = F.sequence(F.trunc("valid_from", "month"), F.trunc("valid_to", "month"), F.expr("interval 1 month"))
+    rows = totals.withColumn("_month", F.explode(F.when(F.col("valid_from") <= F.col("valid_to"), months)))
+    return rows.withColumns(
+        {
+            "valid_from": F.greatest("valid_from", "_month"),
+            "valid_to": F.least("valid_to", F.last_day("_month")),
+            "date_key_month": F.date_format("_month", "yyyy-MM"),
+        }
+    ).drop("_month")
+
+
+def dealt_by_month(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Order days within months, each task with a range of (month, customer) that unfolds to about ``rows_per_task`` rows.
+
+    Sorted within tasks, so that a writer of month folders meets one month after the other. Counts days in one job.
+    """
+    days = F.sum(F.greatest(F.datediff("valid_to", "valid_from") + 1, F.lit(0)))
+    dense = totals.agg(days.alias("n")).first().n or 0
+    keys = ["date_key_month", "user_id"]
+    return within_months(totals).repartitionByRange(max(1, -(-dense // rows_per_task)), *keys).sortWithinPartitions(*keys)
+
+
+def fct_customer_daily_snapshot(
+    customers: DataFrame, dates: DataFrame, orders: DataFrame, by_month: bool = False, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Every customer on every day since the first order, up to the last calendar day.
 
     The order days are written to the shared folder once. The ranking counts intervals between them, so the customer x
-    day rows are made only once, on their way to the sink.
+    day rows are made only once, on their way to the sink. With ``by_month`` the rows carry ``date_key_month`` and are dealt
+    for month folders before they unfold.
     """
     totals = pin(activity_with_totals(customers, dates, orders))
-    ranked = with_clv_segment(unfold_days(totals), cuts=snapshot_cuts(totals))
-    return with_churn_flag(ranked).select(*SNAPSHOT_COLUMNS)
+    return snapshot_of(totals, snapshot_cuts(totals), by_month, rows_per_task)
+
+
+def snapshot_of(totals: DataFrame, cuts: DataFrame, by_month: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The snapshot rows of order days, ranked by ``cuts``."""
+    extra = ["date_key_month"] if by_month else []
+    days = unfold_days(dealt_by_month(totals, rows_per_task) if by_month else totals, *extra)
+    return with_churn_flag(with_clv_segment(days, cuts=cuts)).select(*SNAPSHOT_COLUMNS, *extra)
+
+
+def _last_month(snapshot: DataFrame) -> DataFrame:
+    """Rows in the last month folder, known from the names of the files; no data is read to find it."""
+    folders = {m for f in snapshot.inputFiles() for m in re.findall(r"/date_key_month=(\d{4,}-\d{2})/", f)}
+    return snapshot.filter(F.col("date_key_month") == max(folders, key=lambda m: (len(m), m))) if folders else snapshot
 
 
 def latest_date(snapshot: DataFrame) -> DataFrame:
-    """Last snapshot day; reads one column."""
-    return snapshot.agg(F.max("date_key").alias("date_key"))
+    """Last snapshot day; reads one column, and of a stored table with its month folders at hand one month of it."""
+    recent = _last_month(snapshot) if "date_key_month" in snapshot.columns else snapshot
+    return recent.agg(F.max("date_key").alias("date_key"))
 
 
 def latest_snapshot(snapshot: DataFrame) -> DataFrame:
@@ -242,8 +288,7 @@ def latest_snapshot(snapshot: DataFrame) -> DataFrame:
     it is known; where the month folders are at hand as a column, only the last one is opened."""
     if "date_key_month" not in snapshot.columns:
         return snapshot.filter(F.col("date_key") == latest_date(snapshot).scalar())
-    month = snapshot.agg(F.max("date_key_month")).scalar()
-    recent = snapshot.filter(F.col("date_key_month") == month)
+    recent = _last_month(snapshot)
     return recent.filter(F.col("date_key") == latest_date(recent).scalar()).drop("date_key_month")
 
 

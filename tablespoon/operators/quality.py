@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -148,11 +149,19 @@ def same_distinct(fact: DataFrame, source: DataFrame, table: str, key: str) -> D
 def non_decreasing(
     df: DataFrame, table: str, key: str, order: str, column: str, tolerance: str = "0.01"
 ) -> DataFrame:
-    """Steps down by more than the tolerance in a series per key."""
-    step = F.col(column) - F.lag(column).over(W.partitionBy(key).orderBy(order))
-    falls = df.select(step.alias("step")).agg(
-        F.count_if(F.col("step") < -F.lit(tolerance).cast("decimal(18,4)")).alias("bad")
+    """Runs of a value that a later day of the same key falls below by more than the tolerance; none in a rising series.
+
+    A series that changes seldom is first summed up per key, month and value to its first and last day, where the rows
+    are. Only these runs are shuffled; each is compared with the last day of all values below it.
+    """
+    units = 10_000  # amounts as whole numbers, so that values can be a range of a window
+    value = (F.col(column).cast("decimal(34,4)") * units).cast("long")
+    month = F.date_trunc("month", order)
+    runs = df.filter(F.col(column).isNotNull()).groupBy(key, month.alias("month"), value.alias("value")).agg(
+        F.min(order).alias("first"), F.max(order).alias("last")
     )
+    below = W.partitionBy(key).orderBy("value").rangeBetween(W.unboundedPreceding, -int(Decimal(tolerance) * units) - 1)
+    falls = runs.withColumn("fallen", F.max("last").over(below)).agg(F.count_if(F.col("fallen") > F.col("first")).alias("bad"))
     return _single(falls, f"non_decreasing:{column}", table, F.col("bad") == 0, F.col("bad"), F.lit(0))
 
 

@@ -119,7 +119,7 @@ class Warehouse:
             "fct_order_summary": lambda: fct_order_summary(items(), options()),
             "fct_daily_sales_summary": lambda: fct_daily_sales_summary(items(), options()),
             "fct_customer_daily_snapshot": lambda: fct_customer_daily_snapshot(
-                self.gold("dim_customer"), self.gold("dim_date"), self.gold("fct_order_summary")
+                self.gold("dim_customer"), self.gold("dim_date"), self.gold("fct_order_summary"), by_month="gold" in self.stored
             ),
             "fct_customer_rfm": lambda: fct_customer_rfm(self.gold("fct_order_summary")),
         }
