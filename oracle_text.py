@@ -80,6 +80,16 @@ BLOCKS = {
   CAST(ITEM_QUANTITY AS INT) AS item_quantity,
   CAST(CAST(ITEM_PRICE AS DECIMAL(10,2)) * CAST(ITEM_QUANTITY AS INT) AS DECIMAL(10,2)) AS line_item_revenue
   FROM landing_items""",
+    "kept_lines": """SELECT * FROM typed_items WHERE item_category <> 'Test Items' AND item_price < 1000 AND item_quantity < 100
+  AND line_item_revenue < 2000""",
+    "order_times": """SELECT user_id, order_id, MIN(order_timestamp) AS t, MIN(order_date) AS d FROM kept_lines GROUP BY ALL""",
+    "activity_of": """SELECT user_id, COUNT(*) AS orders, COUNT(gap) AS gaps, COUNT(CASE WHEN gap <= 300 THEN 1 END) AS quick_gaps
+  FROM (SELECT *, epoch(t) - epoch(lag(t) OVER (PARTITION BY user_id ORDER BY t)) AS gap FROM order_times) GROUP BY user_id""",
+    "account_activity": """SELECT a.user_id, orders, gaps, quick_gaps,
+  CASE WHEN gaps > 0 THEN CAST(quick_gaps AS DOUBLE) / CAST(gaps AS DOUBLE) ELSE 0.0 END AS quick_share, most_a_day, locations
+  FROM activity_of a JOIN (SELECT user_id, MAX(n) AS most_a_day FROM (SELECT user_id, d, COUNT(*) AS n FROM order_times GROUP BY ALL)
+    GROUP BY user_id) m ON a.user_id = m.user_id
+  JOIN (SELECT user_id, COUNT(DISTINCT restaurant_id) AS locations FROM kept_lines GROUP BY user_id) p ON a.user_id = p.user_id""",
     "si": """SELECT order_id, lineitem_id, app_name, restaurant_id, order_date, order_timestamp, user_id, is_loyalty,
   currency, item_category, item_name, item_price, item_quantity, line_item_revenue FROM typed_items
   WHERE item_category <> 'Test Items' AND item_price < 1000 AND item_quantity < 100 AND line_item_revenue < 2000
@@ -263,6 +273,11 @@ _TIME = "epoch_ms(order_timestamp) AS order_timestamp_ms"
 _NOT_TIME = "* EXCLUDE (order_timestamp)"
 
 FINAL = {
+    "b6_incremental_landing": "SELECT *, '2024-03-01T00:00:00+00:00' AS ingestion_timestamp FROM landing_options",
+    "v10_account_activity": "SELECT * FROM account_activity WHERE user_id NOT IN ('u7', 'u257')",
+    "v10_rapid_lines": """SELECT restaurant_id, COUNT(*) AS lines FROM kept_lines WHERE user_id NOT IN (SELECT user_id FROM
+  account_activity WHERE orders >= 2 AND (quick_share >= 0.5 OR most_a_day >= 2) AND locations >= 2 AND user_id <> 'GUEST')
+  GROUP BY restaurant_id""",
     "s1_quoted_csv": f"SELECT * EXCLUDE (PRINTED_CARD_NUMBER) REPLACE ({X.QUOTED_NAME} AS ITEM_NAME) FROM landing_items",
     "s1_csv_scan": "SELECT * EXCLUDE (PRINTED_CARD_NUMBER) FROM landing_items",
     "s2_parquet_scan": "SELECT * FROM landing_options",
