@@ -591,4 +591,6 @@ FINAL = {
     ),
 }
 
+FINAL["c13_rolled_forward"] = FINAL["c12_snapshot_digest"]
+
 STATEMENTS = {key: statement(final) for key, final in FINAL.items()}

@@ -9,6 +9,7 @@ month while they are still sparse.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -73,7 +74,12 @@ def activity_with_totals(customers: DataFrame, dates: DataFrame, orders: DataFra
     order date; ``valid_to`` is the day before the next order day, or the last calendar day. A customer has at
     most one row per day here, whatever the number of orders.
     """
-    activity = daily_activity(orders).withColumnRenamed("date_key", "order_day").withColumnRenamed("user_id", "buyer")
+    return running_totals(customers, dates, daily_activity(orders))
+
+
+def running_totals(customers: DataFrame, dates: DataFrame, activity: DataFrame) -> DataFrame:
+    """:func:`activity_with_totals` from :func:`daily_activity`."""
+    activity = activity.withColumnRenamed("date_key", "order_day").withColumnRenamed("user_id", "buyer")
     people = _customers_until_last_day(customers, dates)
     days = people.join(
         activity,
@@ -271,6 +277,23 @@ def snapshot_of(totals: DataFrame, cuts: DataFrame, by_month: bool = False, rows
     return with_churn_flag(with_clv_segment(days, cuts=cuts)).select(*SNAPSHOT_COLUMNS, *extra)
 
 
+def totals_since(customers: DataFrame, dates: DataFrame, orders: DataFrame, state: DataFrame, since: dt.date) -> DataFrame:
+    """:func:`activity_with_totals` from day ``since`` on, without the orders before it.
+
+    ``state`` has the snapshot rows of the day before. What a customer had by then enters as one order day of its own, the
+    last one before ``since``, with all earlier orders and revenue; its validity is cut at ``since``.
+    """
+    before = F.lit(since - dt.timedelta(days=1))
+    carried = state.filter(F.col("days_since_last_order").isNotNull()).select(
+        "user_id", F.date_sub(before, F.col("days_since_last_order")).alias("date_key"),
+        F.col("cumulative_order_count").cast("bigint").alias(_ACTIVITY[0]), to_gold_money(F.lit(0)).alias(_ACTIVITY[1]),
+        F.col("cumulative_ltv").alias(_ACTIVITY[2]), to_gold_money(F.lit(0)).alias(_ACTIVITY[3]),
+    )
+    recent = daily_activity(orders.filter(F.col("date_key") >= F.lit(since)))
+    totals = running_totals(customers, dates, recent.unionByName(carried))
+    return totals.withColumn("valid_from", F.greatest("valid_from", F.lit(since))).filter("valid_from <= valid_to")
+
+
 def _last_month(snapshot: DataFrame) -> DataFrame:
     """Rows in the last month folder, known from the names of the files; no data is read to find it."""
     folders = {m for f in snapshot.inputFiles() for m in re.findall(r"/date_key_month=(\d{4,}-\d{2})/", f)}
