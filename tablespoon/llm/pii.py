@@ -167,26 +167,35 @@ def _patterns(hashes: np.ndarray, rows: np.ndarray) -> list[tuple[np.ndarray, np
     return out
 
 
-def _left_hashes(text: str, start: int) -> list[int]:
-    """Hashes of the 1 to LEFT_WORDS words before ``start``, as :func:`_patterns` has them."""
-    at = start
-    for _ in range(LEFT_WORDS + 1):
-        while at > 0 and text[at - 1] in _SPACE:
-            at -= 1
-        while at > 0 and text[at - 1] not in _SPACE:
-            at -= 1
-    part = text[at:start]
-    # an opening mark that touches the candidate is no word of the pattern
-    cut = max(part.rfind(c) for c in _SPACE) + 1
-    data = lower_ascii(np.frombuffer(part[:cut].encode("utf-8", "surrogatepass"), dtype=np.uint8))
-    starts, lengths = word_spans(data, np.array([0, len(data)]), NON_SPACE)
-    hashes = hash_spans(data, starts, lengths)
-    out = []
-    value = np.zeros(1, dtype=_U)
-    for n in range(min(LEFT_WORDS, len(hashes))):
-        value = mix64(value * _U(0xD6E8FEB86659FD93) + hashes[len(hashes) - 1 - n : len(hashes) - n] + _U(n + 1))
-        out.append(int(value.view(np.int64)[0]))
-    return out
+class _Words:
+    """Words of a block, hashed once, and the patterns that end at each."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+        lowered = lower_ascii(data)
+        self.data, self.bounds = data, bounds
+        self.starts, lengths = word_spans(lowered, bounds, NON_SPACE)
+        self.ends = self.starts + lengths
+        self.rows = np.searchsorted(self.starts, bounds)
+        self.values = [np.zeros(len(lengths), dtype=_U) for _ in range(LEFT_WORDS)]
+        for n, (place, value) in enumerate(_patterns(hash_spans(lowered, self.starts, lengths), self.rows)):
+            self.values[n][place] = value
+
+    def before(self, row: int, starts: list[int]) -> list[list[int]]:
+        """Of each start, in code points of the row: hashes of the 1 to LEFT_WORDS words before it.
+
+        A word that touches the start, like an opening mark, is none of them.
+        """
+        data = self.data[self.bounds[row] : self.bounds[row + 1]]
+        at = np.array(starts, dtype=np.int64)
+        if len(data) and data.max() >= 0x80:
+            at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))[at]
+        at = at + self.bounds[row]
+        last = np.searchsorted(self.starts, at) - 1
+        touching = (last >= self.rows[row]) & (self.ends[last] >= at)
+        last = last - touching
+        many = np.minimum(last - self.rows[row] + 1, LEFT_WORDS).tolist()
+        columns = [v[np.maximum(last, 0)].view(np.int64).tolist() if len(v) else [] for v in self.values]
+        return [[columns[n][i] for n in range(k)] for i, k in enumerate(many)]
 
 
 def _extract(key: str, text: str):
@@ -195,16 +204,19 @@ def _extract(key: str, text: str):
             [("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("value", pa.string()),
              ("patterns", pa.list_(pa.int64()))]
         )
-        for batch in batches:
+        for block in blocks(batches, text):
             bases, found = [], []
-            for body in batch.column(batch.schema.get_field_index(text)):
+            batch, words = block.rows, _Words(block.data, block.bounds)
+            for row, body in enumerate(batch.column(batch.schema.get_field_index(text))):
                 body = body.as_py() or ""
                 base = base_spans(body)
                 bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
+                candidates = _candidates(body, base)
+                left = words.before(row, [a for a, _, _ in candidates]) if candidates else []
                 found.append(
                     [
-                        {"start": a, "end": b, "seed": seed, "value": ascii_lower(body[a:b]), "patterns": _left_hashes(body, a)}
-                        for a, b, seed in _candidates(body, base)
+                        {"start": a, "end": b, "seed": seed, "value": ascii_lower(body[a:b]), "patterns": patterns}
+                        for (a, b, seed), patterns in zip(candidates, left)
                     ]
                 )
             yield pa.RecordBatch.from_arrays(
