@@ -90,13 +90,13 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _digests(value: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """Sixteen bytes for each set: two sums of differently mixed shingles."""
-    padded = np.append(value, _U(0))
-    at = np.minimum(bounds[:-1], len(padded) - 1)
+    at = bounds[:-1]
     size = np.diff(bounds)
     both = np.zeros((len(size), 2), dtype=_U)
     with np.errstate(over="ignore"):
         for k in (0, 1):
-            both[:, k] = np.where(size > 0, np.add.reduceat(mix64(padded ^ _U(k + 1) * _TURN), at), 0)
+            mixed = np.append(mix64(value ^ _U(k + 1) * _TURN), _U(0))  # an empty set at the end has a place too
+            both[:, k] = np.where(size > 0, np.add.reduceat(mixed, at), 0)
     return [x.tobytes() for x in both]
 
 
@@ -151,7 +151,10 @@ def _filter_bits(keys: DataFrame, key: str) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> DataFrame:
-    """(key, shingles) of the documents in ``wanted``; texts of others are passed over where they are read."""
+    """(item, shingles) of the classes in ``wanted`` (item, key, digest), whatever other texts a key has.
+
+    Texts of other keys are passed over where they are read.
+    """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(_filter_bits(wanted, key))
 
@@ -174,8 +177,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, n: int) -> Da
     bit = [F.pmod(F.xxhash64(F.col(key), F.lit(i)), F.lit(FILTER_BITS)).alias(f"bit{i}") for i in (1, 2)]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     rows = docs.select(key, *bit, text).where(F.col(key).isNotNull())
-    made = rows.mapInArrow(run, f"`{key}` {fields[key]}, digest binary, shingles array<long>").join(wanted, key, "left_semi")
-    return made.groupBy(key).agg(F.min_by("shingles", "digest").alias("shingles"))
+    made = rows.mapInArrow(run, f"`{key}` {fields[key]}, digest binary, shingles array<long>").join(wanted, [key, "digest"])
+    return made.groupBy("item").agg(F.any_value("shingles").alias("shingles"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,11 +224,14 @@ def near_copies(
         classes = seen.where("digest IS NOT NULL AND doc IS NOT NULL").groupBy("digest").agg(
             F.min("doc").alias("rep"), F.any_value("n_shingles").alias("size"), F.any_value("buckets").alias("buckets")
         )
-        classes = stored(classes, "classes")
-        parts = connected_components(_links(classes, texts, words, percent))
-        by_class = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "digest", F.coalesce("component", "rep").alias("component")
-        )
+        classes = stored(classes.withColumn("item", F.monotonically_increasing_id()), "classes")
+        links = _links(classes, texts, words, percent).unionByName(_of_one_key(seen, classes))
+        parts = stored(connected_components(links), "parts").withColumnRenamed("node", "item")
+        named = parts.join(classes.select("item", "rep"), "item").groupBy("component").agg(F.min("rep").alias("name"))
+        by_class = (
+            classes.select("item", "digest", "rep").join(parts, "item", "left").join(named, "component", "left")
+            .select("digest", F.coalesce("name", "rep").alias("component"))
+        )
         by_class = stored(by_class, "by_class")
     out = seen.select("doc", "n_shingles", "digest").join(by_class, "digest", "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
@@ -237,15 +243,25 @@ def near_copies(
     )
 
 
+def _of_one_key(seen: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of rows that share a key."""
+    known = seen.where("digest IS NOT NULL AND doc IS NOT NULL")
+    several = stored(known.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "several")
+    items = known.join(several, "doc").select("doc", "digest").join(classes.select("digest", "item"), "digest")
+    first = items.groupBy("doc").agg(F.min("item").alias("a"))
+    return items.join(first, "doc").where("a <> item").select("a", F.col("item").alias("b"))
+
+
 def _links(classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Verified pairs that connect all representatives which share a bucket and are similar enough."""
-    member = classes.select(F.col("rep").alias("doc"), "size", F.explode("buckets").alias("bucket"))
+    """Verified pairs of items that connect all classes which share a bucket and are similar enough."""
+    member = classes.select(F.col("item").alias("doc"), "size", F.explode("buckets").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("many"))
     shared = stored(shared.where("first < last").select("bucket", "many"), "buckets")
     member = stored(member.join(shared, "bucket"), "members")
     # documents in the middle of a group lie in its largest buckets
     involved = stored(member.groupBy("doc").agg(F.sum("many").alias("weight")), "involved")
-    sets = stored(_sets(texts, involved.select("doc"), "body", "doc", words), "sets")
+    wanted = involved.select(F.col("doc").alias("item")).join(classes.select("item", "digest", F.col("rep").alias("doc")), "item")
+    sets = stored(_sets(texts, wanted, "body", "doc", words).withColumnRenamed("item", "doc"), "sets")
     member = stored(member.join(involved, "doc").select("bucket", "doc", "size", "weight"), "members")
     links = None
     parts = None
