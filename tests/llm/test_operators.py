@@ -1,10 +1,15 @@
 """Training-data operators on small frames with nulls, empty texts, repeats, clashing columns, and empty tables."""
 
 import hashlib
+import math
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +17,8 @@ from tablespoon.llm import (
     decontaminate, licenses, line_rules, mixing, near_dup, pii, quality_rank, queries, secret_scan, spans, token_store, url_filter,
 )
 
+from tablespoon.llm.words import ALNUM, hashed_words, text_bytes
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = [None, "", " \n\t", "x", "the same text twice", "the same text twice", "é ß 字 \u2028", "a" * 300_000]
 
@@ -71,6 +78,19 @@ def test_components_equal_plain_pairs(spark, n):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found.values())
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    x, y = (" ".join(f"{c}{i}" for i in range(80)) for c in "xy")
+    rows = [(1, x), (1, y), (2, f"{y} q"), (3, f"{x} q"), (4, "z"), (4, None), (0, x)]
+    found = near_dup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(0, 0), (1, 0), (1, 0), (2, 0), (3, 0), (4, 4), (4, 4)]
+
+
+def test_digests_do_not_depend_on_the_place_in_a_block():
+    value = np.arange(1, 7, dtype=np.uint64)
+    whole = near_dup._digests(value, np.array([0, 3, 3, 6, 6]))
+    assert whole[0] == near_dup._digests(value[:3], np.array([0, 3]))[0] and whole[2] == near_dup._digests(value[3:], np.array([0, 3]))[0]
+
+
 def test_one_of_each_keeps_all_columns_and_odd_keys(spark):
     rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (2, "A b c d e f", "y"), (None, "a b c d e f", "z"), (3, None, None), (4, "", "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_shingles string")
@@ -114,6 +134,35 @@ def test_matches_equal_plain_windows(spark, block):
     assert [m.length for m in found[0].matches if m.item == "1"] == [4, 4] or max(m.length for m in found[0].matches) == 4
 
 
+def test_repetitive_texts_cost_no_more_than_their_length(spark):
+    tests = decontaminate.test_set(["x"], ["a " * 2000])
+    data, bounds = text_bytes(pa.array(["a " * 50_000], pa.string()))
+    words = hashed_words(data, bounds, ALNUM)
+    tracemalloc.start()
+    hit, longest, pairs, matches = decontaminate.search_shard(words.hashes, words.rows, tests, 13)
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    assert (hit.tolist(), longest.tolist(), pairs.tolist()) == ([50_000], [2000], [[0, 0]])
+    assert len(matches) == 48_001 and matches[:, 3].max() == 2000
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_longest_matches_equal_plain_search(seed):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(rng.choice("abc" if seed % 2 else "abcdefg") for _ in range(rng.randrange(n)))
+    texts, items, window = [text(14) for _ in range(6)], [(str(i % 4), text(9)) for i in range(5)], rng.choice([2, 3, 5])
+    tests = decontaminate.test_set(*zip(*items))
+    data, bounds = text_bytes(pa.array(texts, pa.string()))
+    words = hashed_words(data, bounds, ALNUM)
+    hit, longest, pairs, matches = decontaminate.search_shard(words.hashes, words.rows, tests, window)
+    for i, (t, (_, n_hit, names)) in enumerate(zip(texts, plain_hits(texts, items, window))):
+        runs = [" ".join(t.split()[a:b]) for a in range(len(t.split())) for b in range(a + 1, len(t.split()) + 1)]
+        best = max((len(r.split()) for r in runs if any(f" {r} " in f" {body} " for _, body in items)), default=0)
+        assert (hit[i], longest[i], sorted(tests.names[x] for x in pairs[pairs[:, 0] == i, 1])) == (n_hit, best, names)
+        covered = {p for _, _, a, n in matches[matches[:, 0] == i].tolist() for p in range(a, a + n)}
+        assert len(covered) == n_hit
+
+
 def test_clean_documents_keep_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b c", 5), (2, "z y x w v u", 6), (None, None, None)], "doc_id long, text string, n_hit int")
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
@@ -198,6 +247,28 @@ def test_mixed_documents_are_whole_rows(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_taken_one_by_one(spark, tmp_path):
+    rows = [(i, "w " * (5 + i % 7), "a") for i in range(600)] + [(i, "v " * (8 + i % 5), "b") for i in range(700)]
+    docs = spark.createDataFrame(rows + [(7, "x " * 10, "c")] * 900, "doc_id long, text string, source string").repartition(6)
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    found = {r.target: r.taken for r in mixing.mix(docs).groupBy("target").agg(F.sum("taken").alias("taken")).collect()}
+    assert len(found) == 3 and all(abs(taken - target) <= 10 for target, taken in found.items())
+    assert mixing.mixed_documents(docs).select(F.sum(mixing.word_count("text"))).first()[0] == sum(found.values())
+
+
+def test_dual_equals_a_plain_bisection(spark):
+    cells = spark.createDataFrame([("a", s, n) for s, n in ((1, 500), (9, 40), (130, 7), (4000, 1))], "source string, size long, n long")
+    targets = spark.createDataFrame([("a", 5200.0)], "source string, target double")
+    solved = mixing.balanced_rates(cells, targets).first()
+    rows = [(r["size"], r.n) for r in cells.collect()]
+    taken = lambda a: sum(n * s * min(2.0, math.exp(a * s / solved.mean)) for s, n in rows)
+    low, high = -1000.0, 1000.0
+    for _ in range(200):
+        low, high = ((low + high) / 2, high) if taken((low + high) / 2) < 5200 else (low, (low + high) / 2)
+    assert abs(solved.a - low) < 1e-6 and abs(taken(solved.a) - 5200) < 0.1
+
+
 def test_sources_without_words_take_nothing(spark):
     empty = spark.createDataFrame([(2000, "", "blank"), (2001, None, "blank"), (2002, " \n", "blank")], "doc_id long, text string, source string")
     rows = {r.doc_id: r for r in mixing.mix(mix_frame(spark).union(empty)).collect()}
@@ -428,6 +499,16 @@ def test_urls_by_array_and_by_join(spark):
     assert url_filter.filter_urls(pages.limit(0), entries).count() == 0
 
 
+def test_long_hosts_are_probed_at_their_end(spark):
+    urls = ["http://" + "a." * 32_768 + "spam.example.com/x", "http://xspam.example.com/", "http://" + "b" * 70_000 + "/x", "http://.spam.example.com/"]
+    pages = spark.createDataFrame(list(enumerate([*urls, urls[0]])), "page_id long, url string")
+    entries = [url_filter.Entry("spam.example.com/", "block", rule=False)]
+    listed = spark.createDataFrame([("spam.example.com",)], "host string")
+    for found in (url_filter.filter_urls(pages, entries), url_filter.joined_urls(pages, entries), url_filter.filter_urls(pages, [], blocked=listed)):
+        assert [r.verdict for r in found.orderBy("page_id").collect()] == ["block", "allow", "allow", "block", "block"]
+    assert len(list(url_filter._probes("a." * 32_768 + "spam.example.com", "/", [1], 16))) == 3
+
+
 def test_names_are_blocked_under_every_domain(spark, tmp_path):
     hosts = ["m.casino-win.example.com", "adult-x.example.edu", "a.b.free-bets.co.uk", "spam-farm.example.info"]
     clean = ["mycasino-win.example.com", "casino-win", "example.com"]
