@@ -29,10 +29,11 @@ from tablespoon.llm.words import blocks, hash_spans
 from tablespoon.session import intermediates, stored
 
 CHUNK_BYTES = 1 << 15  # byte range of a fragment
-BLOCK_BYTES = 1 << 20  # text aligned at once
-DICTIONARY_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 18  # text aligned at once
+DICTIONARY_BYTES = 4 << 20
 FAN = 8  # fragments composed by one group of a round
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
+PER_CALL = 1024
 
 _SUMS = "n_a long, n_b long, n_groups long, n_links long"
 _UNIT = "rid long, idx int, of int, base long, low long, high long, body binary"
@@ -89,12 +90,10 @@ class Tokenizers:
         ]
         self.bytes = [_table(entries), _table(marks)]
         self.decimals = _table([str(i).encode() for i in range(max(len(entries), len(marks)))])
-        with open(path_a) as spec:
-            kind = json.load(spec)
-        splits = kind.get("pre_tokenizer") or {}
+        splits = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}
         # a space between two words ends a token of either kind
         self.by_piece = (
-            kind.get("normalizer") is None and splits.get("type") == "ByteLevel" and bool(splits.get("use_regex"))
+            self.a.normalizer is None and splits.get("type") == "ByteLevel" and bool(splits.get("use_regex"))
             and not splits.get("add_prefix_space") and not any("▁" in p.lstrip("▁") for p in pieces)
             and self.b.decode(self.b.encode(_PROBE)) == _PROBE
         )
@@ -138,23 +137,26 @@ class Tokenizers:
 
     def _learn(self, hashes: np.ndarray, raw: bytes, starts: list[int], lengths: list[int]) -> None:
         pieces = [raw[a : a + n] for a, n in zip(starts, lengths)]
-        texts = [p.decode() for p in pieces]
         at = np.searchsorted(self.hashes, hashes)
-        encoded = [
-            [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)],
-            self.b.encode([t[1:] for t in texts], num_threads=1),
-        ]
         good = np.ones(len(pieces), dtype=bool)
-        for kind, lists in enumerate(encoded):
-            entries, begins, sizes = self.bytes[kind]
-            count = np.array([len(x) for x in lists], dtype=np.int64)
-            ids = np.array([i for x in lists for i in x], dtype=np.int64)
-            joined = entries[_spread(begins[ids], sizes[ids])].tobytes()
-            ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(count)])].tolist()
-            good &= np.array([joined[a:b] == p for a, b, p in zip(ends[:-1], ends[1:], pieces)], dtype=bool)
+        counts, ids = ([], []), ([], [])
+        for k in range(0, len(pieces), PER_CALL):
+            some = pieces[k : k + PER_CALL]
+            texts = [p.decode() for p in some]
+            encoded = [[x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)]
+            for kind, lists in enumerate(encoded):
+                entries, begins, sizes = self.bytes[kind]
+                counts[kind].append(np.array([len(x) for x in lists], dtype=np.int64))
+                ids[kind].append(np.array([i for x in lists for i in x], dtype=np.int64))
+                own = ids[kind][-1]
+                joined = entries[_spread(begins[own], sizes[own])].tobytes()
+                ends = np.concatenate([[0], np.cumsum(sizes[own])])[np.concatenate([[0], np.cumsum(counts[kind][-1])])].tolist()
+                good[k : k + PER_CALL] &= np.array([joined[a:b] == p for a, b, p in zip(ends[:-1], ends[1:], some)], dtype=bool)
+        for kind in (0, 1):
+            count = np.concatenate(counts[kind])
             self.begin[kind] = np.insert(self.begin[kind], at, len(self.ids[kind]) + np.cumsum(count) - count)
             self.count[kind] = np.insert(self.count[kind], at, count)
-            self.ids[kind] = np.concatenate([self.ids[kind], ids])
+            self.ids[kind] = np.concatenate([self.ids[kind], *ids[kind]])
         self.good = np.insert(self.good, at, good)
         self.hashes = np.insert(self.hashes, at, hashes)
 
