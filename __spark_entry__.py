@@ -37,7 +37,7 @@ from tablespoon.operators import sales as T
 from tablespoon.operators import segmentation as G
 from tablespoon.operators import silver as S
 from tablespoon.plans import Warehouse, roll_forward
-from tablespoon.session import scratch_dir
+from tablespoon.session import scratch_dir, stored
 from tablespoon.sources import LANDING_SCHEMAS, Layout, load_landing, read_table, write_table
 from tablespoon.streaming import ingest_landing
 
@@ -51,6 +51,7 @@ except ImportError as missing:  # the subpackage, or a library that only it need
 INGESTED_AT = "2024-03-01T00:00:00+00:00"
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_cubes: dict[Warehouse, DataFrame] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -189,6 +190,20 @@ def _sales(w: Warehouse) -> DataFrame:
     return T.enrich_sales(w.gold("fct_daily_sales_summary"), w.gold("dim_restaurant"), w.gold("dim_date"))
 
 
+def _cube(w: Warehouse) -> DataFrame:
+    """The stored sales cube, built on first use."""
+    if w not in _cubes:
+        _cubes[w] = stored(T.sales_cube(_sales(w)), "cube")
+    return _cubes[w]
+
+
+def _merged_customers(w: Warehouse) -> DataFrame:
+    """The customer dimension from the stored states of two halves of the lines."""
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    states = [stored(D.customer_state(_items(w).filter(half == k)), "customers") for k in (0, 1)]
+    return D.customers_of(D.merged_states(*states))
+
+
 def _buyers(w: Warehouse) -> DataFrame:
     return Y.customer_orders(_orders(w), _customers(w))
 
@@ -432,6 +447,7 @@ _QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {
     "d9_primary_restaurant": lambda w, d: D.dim_customer(_items(w)).select(
         "user_id", "primary_restaurant_id", "primary_app"
     ),
+    "d11_merged_customers": lambda w, d: _merged_customers(w),
     "d10_dim_customer": lambda w, d: D.dim_customer(_items(w)),
     # order summary
     "o1_items_per_order": lambda w, d: O.order_items_agg(_items(w)),
@@ -528,20 +544,12 @@ _QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {
     "t4_top_categories": lambda w, d: T.top_n(_sales(w), "item_category", 8),
     "t5_top_locations": lambda w, d: T.top_n(_sales(w), "location_label", 5),
     "t6_sales_kpis": lambda w, d: T.sales_kpis(_sales(w)),
-    "t7_monthly_category": lambda w, d: T.monthly_by(
-        _sales(w), "item_category", T.top_n(_sales(w), "item_category", 8)
-    ),
-    "t8_monthly_location": lambda w, d: T.monthly_by(
-        _sales(w), "location_label", T.top_n(_sales(w), "location_label", 5)
-    ),
-    "t9_season_category": lambda w, d: T.seasonal_by(
-        _sales(w), "item_category", T.top_n(_sales(w), "item_category", 8)
-    ),
-    "t10_season_location": lambda w, d: T.seasonal_by(
-        _sales(w), "location_label", T.top_n(_sales(w), "location_label", 10)
-    ),
-    "t11_holiday_effect": lambda w, d: T.holiday_effect(_sales(w)),
-    "t12_season_total": lambda w, d: T.seasonal_total(_sales(w)),
+    "t7_monthly_category": lambda w, d: T.cube_months(_cube(w), "category", 8),
+    "t8_monthly_location": lambda w, d: T.cube_months(_cube(w), "location", 5),
+    "t9_season_category": lambda w, d: T.cube_seasons(_cube(w), "category", 8),
+    "t10_season_location": lambda w, d: T.cube_seasons(_cube(w), "location", 10),
+    "t11_holiday_effect": lambda w, d: T.cube_holidays(_cube(w)),
+    "t12_season_total": lambda w, d: T.cube_seasons(_cube(w)),
     # reports: loyalty
     "y1_customer_orders": lambda w, d: _buyers(w),
     "y2_loyalty_kpis": lambda w, d: Y.loyalty_kpis(_buyers(w)),
@@ -556,9 +564,7 @@ _QUERIES: dict[str, Callable[[Warehouse, str], DataFrame]] = {
     "n4_location_ranking": lambda w, d: N.location_ranking(_located(w)),
     "n7_ranking_table": lambda w, d: N.ranking_table(N.location_ranking(_located(w))),
     "n5_location_kpis": lambda w, d: N.location_kpis(N.location_ranking(_located(w))),
-    "n6_location_trend": lambda w, d: T.monthly_by(
-        _sales(w), "location_label", N.location_ranking(_located(w)).limit(3)
-    ),
+    "n6_location_trend": lambda w, d: T.cube_months(_cube(w), "location", keys=N.location_ranking(_located(w)).limit(3)),
     # reports: pricing
     "x1_order_type": lambda w, d: _typed_orders(w).select("order_id", "option_revenue", "order_type"),
     "x2_type_agg": lambda w, d: P.order_type_agg(_typed_orders(w)),

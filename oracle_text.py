@@ -326,6 +326,7 @@ FINAL = {
     "d8_latest_loyalty": "SELECT * FROM loyal",
     "d9_primary_restaurant": "SELECT * FROM favourite",
     "d10_dim_customer": "SELECT * FROM dim_customer",
+    "d11_merged_customers": "SELECT * FROM dim_customer",
     "o1_items_per_order": "SELECT * FROM order_lines",
     "o2_options_per_order": f"SELECT {_OPTION_SUMS} FROM order_options",
     "o3_order_join": f"SELECT {_OPTION_SUMS}, gross_revenue FROM order_joined",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,16 @@ def dim_restaurant(items: DataFrame) -> DataFrame:
 
 
 def dim_customer(items: DataFrame) -> DataFrame:
-    """First and last order day, latest loyalty flag and the (location, app) pair with most lines.
+    """First and last order day, latest loyalty flag and the (location, app) pair with most lines; one scan."""
+    return customers_of(customer_state(items))
+
 
-    One scan: lines collapse by hash to (customer, location, app, order, flag), with counts and times only, before
-    structs are compared per (customer, location, app) and then per customer. The guest account, which may hold a
-    large part of all lines, arrives at its task as a few pre-aggregated rows. The latest flag is the one on the line
-    with the greatest (timestamp, order, flag).
+def customer_state(items: DataFrame) -> DataFrame:
+    """What lines say about a customer, per location and app: lines, order days and the latest line.
+
+    Lines collapse by hash to (customer, location, app, order, flag), with counts and times only, before structs are
+    compared per (customer, location, app). The guest account, which may hold a large part of all lines, arrives at its
+    task as a few pre-aggregated rows. States of different lines add up by :func:`merged_states`.
     """
     visits = items.groupBy("user_id", "restaurant_id", "app_name", "order_id", "is_loyalty").agg(
         F.count("order_id").alias("lines"),
@@ -67,27 +73,37 @@ def dim_customer(items: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_order_date"),
         F.max("order_timestamp").alias("order_timestamp"),
     )
-    places = visits.groupBy("user_id", "restaurant_id", "app_name").agg(
+    return _per_place(visits.withColumn("latest", F.struct("order_timestamp", "order_id", "is_loyalty")))
+
+
+def merged_states(*states: DataFrame) -> DataFrame:
+    """State of all lines from the states of parts of them, such as a stored state and that of new lines."""
+    return _per_place(reduce(DataFrame.unionByName, states))
+
+
+def _per_place(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("user_id", "restaurant_id", "app_name").agg(
         F.sum("lines").alias("lines"),
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
-        F.max(F.struct("order_timestamp", "order_id", "is_loyalty")).alias("latest"),
+        F.max("latest").alias("latest"),
     )
+
+
+def customers_of(state: DataFrame) -> DataFrame:
+    """The customer dimension; the latest flag is the one on the line with the greatest (timestamp, order, flag)."""
     favourite = F.struct((-F.col("lines")).alias("rank"), "restaurant_id", "app_name")
-    return (
-        places.groupBy("user_id")
-        .agg(
-            F.min("first_order_date").alias("first_order_date"),
-            F.max("last_order_date").alias("last_order_date"),
-            F.max("latest").alias("latest"),
-            F.min(favourite).alias("favourite"),
-        )
-        .select(
-            "user_id",
-            "first_order_date",
-            "last_order_date",
-            "latest.is_loyalty",
-            F.col("favourite.restaurant_id").alias("primary_restaurant_id"),
-            F.col("favourite.app_name").alias("primary_app"),
-        )
+    best = state.groupBy("user_id").agg(
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.max("latest").alias("latest"),
+        F.min(favourite).alias("favourite"),
+    )
+    return best.select(
+        "user_id",
+        "first_order_date",
+        "last_order_date",
+        "latest.is_loyalty",
+        F.col("favourite.restaurant_id").alias("primary_restaurant_id"),
+        F.col("favourite.app_name").alias("primary_app"),
     )

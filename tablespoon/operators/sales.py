@@ -113,3 +113,69 @@ def holiday_effect(df: DataFrame) -> DataFrame:
     return daily.groupBy("is_holiday").agg(mean(F.col("revenue")).alias("avg_daily_revenue")).select(
         "is_holiday", F.when(F.col("is_holiday"), "Holiday").otherwise("Non-Holiday").alias("label"), "avg_daily_revenue"
     )
+
+
+#: Dimensions of the cube and the column each is taken from; ``all`` has the totals.
+CUBE_KEYS = {"category": "item_category", "location": "location_label"}
+
+
+def sales_cube(df: DataFrame) -> DataFrame:
+    """(dimension, key, period, month_end, season, is_holiday, revenue, days): revenue and days with sales.
+
+    ``period`` is month, season or holiday; of the three columns after it only the one it names is set. Enriched sales are
+    read once: they collapse to days by grouping sets over the dimensions, and these few rows to periods by grouping sets
+    over the three calendars, so counts of days need no distinct.
+    """
+    by_day = ["date_key", "season", "is_holiday"]
+    category, location = (F.col(c) for c in CUBE_KEYS.values())
+    sets = [[*by_day, *extra] for extra in ([CUBE_KEYS["category"]], [CUBE_KEYS["location"]], [])]
+    days = df.groupingSets([[F.col(c) for c in one] for one in sets], *by_day, *CUBE_KEYS.values()).agg(
+        F.sum("net_revenue").alias("revenue"), F.grouping(category).alias("no_category"), F.grouping(location).alias("no_location")
+    )
+    dimension = F.when(F.col("no_category") == 0, "category").when(F.col("no_location") == 0, "location").otherwise("all")
+    key = F.when(dimension == "category", category).when(dimension == "location", location)
+    days = days.select(dimension.alias("dimension"), key.alias("key"), F.last_day("date_key").alias("month_end"), *by_day, "revenue")
+    days = days.filter("dimension = 'all' OR key IS NOT NULL")
+    calendars = {"month": "month_end", "season": "season", "holiday": "is_holiday"}
+    head = ["dimension", "key"]
+    cube = days.groupingSets([[F.col(c) for c in (*head, one)] for one in calendars.values()], *head, *calendars.values()).agg(
+        F.sum("revenue").alias("revenue"), F.count("date_key").alias("days"),
+        *(F.grouping(c).alias(f"no_{p}") for p, c in calendars.items()),
+    )
+    period = F.when(F.col("no_month") == 0, "month").when(F.col("no_season") == 0, "season").otherwise("holiday")
+    return cube.select(*head, period.alias("period"), *calendars.values(), "revenue", "days")
+
+
+def _slice(cube: DataFrame, dimension: str, period: str, top: int | None = None) -> DataFrame:
+    """Rows of one dimension and calendar, of the ``top`` keys by revenue if that is given; equal revenue goes by name."""
+    rows = cube.filter((F.col("dimension") == dimension) & (F.col("period") == period))
+    if top is None:
+        return rows
+    all_time = cube.filter((F.col("dimension") == dimension) & (F.col("period") == "month"))
+    best = all_time.groupBy("key").agg(to_gold_money(F.sum("revenue")).alias("total")).orderBy(F.desc("total"), "key").limit(top)
+    return rows.join(best.select("key"), "key", "left_semi")
+
+
+def cube_months(cube: DataFrame, dimension: str, top: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """:func:`monthly_by` from the cube, of the ``top`` keys or of those in ``keys``."""
+    rows = _slice(cube, dimension, "month", top)
+    if keys is not None:
+        rows = rows.join(keys.select(F.col(CUBE_KEYS[dimension]).alias("key")), "key", "left_semi")
+    return rows.select("month_end", F.col("key").alias(CUBE_KEYS[dimension]), to_gold_money(F.col("revenue")).alias("net_revenue"))
+
+
+def cube_seasons(cube: DataFrame, dimension: str = "all", top: int | None = None) -> DataFrame:
+    """:func:`seasonal_by`, or :func:`seasonal_total` of all, from the cube."""
+    rows = _slice(cube, dimension, "season", top)
+    keys = [F.col("key").alias(CUBE_KEYS[dimension])] if dimension in CUBE_KEYS else []
+    average = F.try_divide(F.col("revenue").cast("double"), F.col("days").cast("double"))
+    return rows.select("season", *keys, to_gold_money(F.col("revenue")).alias("total_revenue"), "days", average.alias("avg_daily_revenue"))
+
+
+def cube_holidays(cube: DataFrame) -> DataFrame:
+    """:func:`holiday_effect` from the cube."""
+    rows = _slice(cube, "all", "holiday").filter(F.col("is_holiday").isNotNull())
+    average = F.try_divide(F.col("revenue").cast("double"), F.col("days").cast("double"))
+    return rows.select(
+        "is_holiday", F.when(F.col("is_holiday"), "Holiday").otherwise("Non-Holiday").alias("label"), average.alias("avg_daily_revenue")
+    )
