@@ -34,9 +34,11 @@ COVER = 80  # percent of a phrase's occurrences that a longer one may hold
 HEADS = 1 << 19
 FILTER_BITS = 26
 TILE_BITS = 10
-DENSE = 1 << 14  # hits of a block from which a tile of 2**20 cells is an array
-DENSE_TILES = 8  # arrays that a task keeps
-LISTED = 1 << 21  # distinct addresses that a task gathers before it hands them on
+BLOCK_BYTES = 1 << 20  # text handled at once
+DENSE = 1 << 13  # hits of a block from which a tile of 2**20 cells is an array
+DENSE_TILES = 6  # arrays that a task keeps
+WORDS_HELD = 200_000  # counted words that a task gathers before it hands them on
+LISTED = 1 << 20  # distinct addresses that a task gathers before it hands them on
 SALTS = 64
 
 _WORD = byte_class(b" \t.,;:!?\n\x0b\x0c\r")
@@ -95,7 +97,8 @@ def _units(block, lang: str):
 
 def _word_counts(text: str, lang: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
+        known: list[pa.RecordBatch] = []
+        for block in blocks(batches, text, BLOCK_BYTES):
             hashes, _, data, starts, lengths, row, names = _units(block, lang)
             found, first, n = np.unique(hashes, return_index=True, return_counts=True)
             raw = data.tobytes()
@@ -104,11 +107,28 @@ def _word_counts(text: str, lang: str):
                 pa.array(found.view(np.int64)), pa.array([names[i] for i in row[first]], pa.string()),
                 pa.array([raw[a : a + k].decode() for a, k in zip(at, size)], pa.string()), pa.array(n, pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "lang", "phrase", "n"])
+            known.append(pa.RecordBatch.from_arrays(columns, ["h", "lang", "phrase", "n"]))
+            if sum(x.num_rows for x in known) > WORDS_HELD:
+                known = [_merged_words(known)]
+                if 2 * known[0].num_rows > WORDS_HELD:
+                    yield known.pop()
+        if known:
+            yield _merged_words(known)
 
     return run
 
 
+def _merged_words(counted: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(counted).combine_chunks().to_batches()
+    if not rows:
+        return counted[0]
+    rows = rows[0]
+    _, first, back = np.unique(rows.column(0).to_numpy(), return_index=True, return_inverse=True)
+    n = np.bincount(back, weights=rows.column(3).to_numpy()).astype(np.int64)
+    some = rows.take(pa.array(first))
+    return some.set_column(3, "n", pa.array(n))
+
+
 class Tiles:
     """Counts of (row rank, column rank) addresses and, beyond the ranks, of hashes."""
 
@@ -131,7 +151,10 @@ class Tiles:
                 low = (1 << TILE_BITS) - 1
                 cell = ((row[here] & low) << TILE_BITS) | (column[here] & low)
                 counted = np.bincount(cell, minlength=1 << 2 * TILE_BITS)
-                self.dense[one] = self.dense[one] + counted if one in self.dense else counted
+                if one in self.dense:
+                    self.dense[one] += counted.astype(np.int32)
+                else:
+                    self.dense[one] = counted.astype(np.int32)
                 row, column, tile = row[~here], column[~here], tile[~here]
         self.pending.append((row << 32) | column)
 
@@ -159,26 +182,43 @@ class Tiles:
         self.dense = {}
 
     def _counts(self, row: np.ndarray, column: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Addresses as one number each, without the hashes that they stand for."""
         for at in range(0, len(row), 1 << 16):
-            left, right = self.rows.heads[row[at : at + (1 << 16)]], self.columns.heads[column[at : at + (1 << 16)]]
-            ends = self.rows.ends[row[at : at + (1 << 16)]]
-            # of a pair the part without the first word is the second word itself
-            rest = right if self.rows is self.columns else _combined(ends, right)
-            yield _count_rows(left, right, rest, n[at : at + (1 << 16)])
+            address = (row[at : at + (1 << 16)] << 32) | column[at : at + (1 << 16)]
+            none = np.zeros(len(address), dtype=np.int64)
+            yield _count_rows(address, none, none, none, n[at : at + (1 << 16)])
 
 
-def _count_rows(left, right, rest, n) -> pa.RecordBatch:
-    columns = [pa.array(x.view(np.int64)) for x in (_combined(left, right), left, right, rest)]
+def _count_rows(key, left, right, rest, n) -> pa.RecordBatch:
+    columns = [pa.array(x.view(np.int64)) for x in (key, left, right, rest)]
     return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], ["h", "l", "r", "s", "n"])
 
 
+def _hashed(levels):
+    """Frequent addresses and hashes to phrases: (hash, first words, last word, all but the first word, count)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = levels.value
+        for batch in batches:
+            key, left, right, rest, n = (batch.column(batch.schema.get_field_index(c)).to_numpy().copy() for c in ("h", "l", "r", "s", "n"))
+            left, right, rest = (x.view(np.uint64) for x in (left, right, rest))
+            ranked = key >= 0
+            row, column = key[ranked] >> 32, key[ranked] & 0xFFFFFFFF
+            left[ranked], right[ranked] = ranks[-1].heads[row], ranks[0].heads[column]
+            # of a pair the part without the first word is the second word itself
+            rest[ranked] = right[ranked] if len(ranks) == 1 else _combined(ranks[-1].ends[row], right[ranked])
+            yield _count_rows(_combined(left, right), left, right, rest, n)
+
+    return run
+
+
 def _phrase_counts(levels, text: str, lang: str):
     """Counts of phrases one word longer than the units of the last of ``levels``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = levels.value
         tiles = Tiles(ranks[-1], ranks[0])
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             word, linked, *_ = _units(block, lang)
             word_rank, frequent = ranks[0].find(word)
             unit, rank, at = word, word_rank, np.flatnonzero(frequent)  # places where a frequent unit begins
@@ -196,7 +236,7 @@ def _phrase_counts(levels, text: str, lang: str):
             other = next_[~ranked]
             if len(other):
                 yield from _by_hash(unit[other], word[at[other] + size], unit[other + 1])
-            if sum(map(len, tiles.pending)) > LISTED and tiles.compact() > LISTED:
+            if sum(map(len, tiles.pending)) > LISTED // 2 and tiles.compact() > LISTED:
                 yield from tiles.flush()
         yield from tiles.flush()
 
@@ -204,8 +244,9 @@ def _phrase_counts(levels, text: str, lang: str):
 
 
 def _by_hash(left, right, rest) -> Iterator[pa.RecordBatch]:
-    _, first, n = np.unique(_combined(left, right), return_index=True, return_counts=True)
-    yield _count_rows(left[first], right[first], rest[first], n)
+    """Phrases with a part beyond the ranks; their keys are negative, those of addresses are not."""
+    key, first, n = np.unique(_combined(left, right) | np.uint64(1 << 63), return_index=True, return_counts=True)
+    yield _count_rows(key, left[first], right[first], rest[first], n)
 
 
 def _ranks(units: DataFrame, end: str, heads: int, bits: int) -> Ranks:
@@ -251,7 +292,8 @@ def collocations(
             known = spark.sparkContext.broadcast(ranks)
             partial = scan.mapInArrow(_phrase_counts(known, "text", "lang"), _COUNTS)
             summed = partial.groupBy("h").agg(F.sum("n").alias("n"), *(F.any_value(c).alias(c) for c in "lrs"))
-            levels.append(stored(summed.where(F.col("n") >= least), "units"))
+            frequent = summed.where(F.col("n") >= least).select("h", "l", "r", "s", "n")
+            levels.append(stored(frequent.mapInArrow(_hashed(known), _COUNTS), "units"))
             if size < 4:
                 ranks.append(_ranks(levels[-1], "s", heads, bits))
         ranked = _best(_judged(levels, cover), totals, top)
