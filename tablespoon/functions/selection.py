@@ -47,12 +47,14 @@ def order_statistics(
     bucket: str | None = None,
     counted: DataFrame | None = None,
     rows_in: Callable[[DataFrame], DataFrame] | None = None,
+    few_groups: bool = True,
 ) -> DataFrame:
     """For each group of ``by``: ``n`` and, for each name in ``ranks``, a struct (value, below).
 
     ``ranks[name](n)`` is the wanted 0-based rank among the group's non-NULL values in ascending order; ``value``
     is the value there and ``below`` the number of rows strictly smaller. NULL where the rank does not exist.
-    ``by`` must be a closed small domain such as calendar days or labels: one row per group and rank is broadcast.
+    With ``few_groups``, ``by`` is a closed small domain such as calendar days or labels, and one row per group and rank is
+    broadcast; without, Spark chooses how these rows meet the others.
     ``bucket`` names a column that already holds :func:`log_bucket` of the value.
 
     Where the rows of ``df`` are costly to make, ``counted`` has their number by group and bucket (``by``, ``_b``, ``_c``),
@@ -97,7 +99,7 @@ def order_statistics(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col("_b") == F.col("_wb")
     )
     fine = (
-        rows.join(F.broadcast(wanted), match)
+        rows.join(F.broadcast(wanted) if few_groups else wanted, match)
         .groupBy(*by, "n", "_name", "_rank", "_offset", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
@@ -212,7 +214,8 @@ def global_ntile(
     not touch the result. Counting the buckets shows which few buckets hold the first row of a tile. Such a bucket is
     cut again until it has at most ``rows_per_task`` rows, however large the table; only then is it ordered, and the
     tile-opening rows found there become constants of one projection: the table itself is
-    never shuffled. The driver sees the sample, ``buckets`` counts per column and ``tiles - 1`` rows per column.
+    never shuffled. These passes run as jobs while the plan is built, also for a caller that only wants to see it.
+    The driver sees the sample, ``buckets`` counts per column and ``tiles - 1`` rows per column.
     """
     df = pin(df)
     total = df.count()
