@@ -115,7 +115,8 @@ def rank_quality(
 
     Learns from different labelled rows whose key is not held out, at most ``sample`` of each class (those of least hash). Null and
     empty texts have features 0 and a score like any other; a null key has no label and is not held out; repeated rows get
-    equal scores, and enter the sample once. Rows with a null label are not learned from. With only one class, or no
+    equal scores, and enter the sample once. Rows with a null label are not learned from; of several labels
+    of one key the largest counts. With only one class, or no
     labels, every score is 0.5.
     """
     scored = stored(with_features(docs, key, text), "features").withColumnRenamed(key, "doc")
