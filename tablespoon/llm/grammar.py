@@ -131,3 +131,34 @@ def decode(grammar: Grammar, first: int = 0, end: int | None = None) -> tuple[np
     some = grammar.symbols[at : int(ends[-1]) if len(ends) else at]
     total = np.concatenate([[0], np.cumsum(length[some])])
     return ids[spread(begin[some], length[some])], total[ends - at]
+
+
+def decode_range(grammar: Grammar, document: int, first: int = 0, end: int | None = None) -> np.ndarray:
+    """Ids ``first`` to ``end`` (exclusive) of one document.
+
+    The lengths say which symbols hold these ids; only they are replaced by their parts, level by level, and parts outside
+    the range are passed over. So the work depends on the ids asked for and the depth of their rules alone.
+    """
+    at = int(grammar.ends[document - 1]) if document else 0
+    symbol = grammar.symbols[at : int(grammar.ends[document])].astype(np.int64)
+    size = np.ones(len(symbol), dtype=np.int64)
+    rule = symbol >= grammar.base
+    size[rule] = grammar.length[symbol[rule] - grammar.base]
+    begin = np.cumsum(size) - size
+    end = int(size.sum()) if end is None else end
+    while True:
+        some = (begin < end) & (begin + size > first)
+        symbol, begin, size = symbol[some], begin[some], size[some]
+        rule = symbol >= grammar.base
+        if not rule.any():
+            return symbol.astype(np.uint32)
+        parts = np.repeat(np.arange(len(symbol)), 1 + rule)
+        second = np.concatenate([[False], parts[1:] == parts[:-1]])
+        number = symbol[parts] - grammar.base
+        part = np.where(second, grammar.right[number.clip(0)], grammar.left[number.clip(0)]) if len(grammar.left) else symbol[parts]
+        symbol = np.where(rule[parts], part, symbol[parts]).astype(np.int64)
+        size = np.ones(len(symbol), dtype=np.int64)
+        deep = symbol >= grammar.base
+        size[deep] = grammar.length[symbol[deep] - grammar.base]
+        begin = begin[parts]
+        begin[second] += size[np.flatnonzero(second) - 1]

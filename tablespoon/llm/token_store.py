@@ -169,8 +169,16 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
     return out.select(key, "start", "n_tokens", "ids_crc32", "part", "shard", "place", *["ids"] * with_ids)
 
 
-def read_document(spark: SparkSession, path: str, part: int, shard: int, place: int) -> list[int]:
-    """Ids of one document: one shard row is read, only this document's symbols are expanded."""
-    row = spark.read.parquet(path).where((F.col("part") == part) & (F.col("shard") == shard)).drop("keys").first()
-    ids, _ = grammar.decode(_grammar(row.asDict()), place, place + 1)
-    return ids.tolist()
+def read_document(spark: SparkSession, path: str, key: object, first: int = 0, end: int | None = None) -> list[list[int]]:
+    """Ids ``first`` to ``end`` of the documents with this key, one list for each (repeated rows have several).
+
+    A scan of the keys alone finds the shards. Of these, only the symbols that hold the ids asked for are expanded, found by
+    the stored lengths of the rules.
+    """
+    holds = F.exists("keys", lambda k: k.eqNullSafe(F.lit(key)))
+    out = []
+    for found in spark.read.parquet(path).where(holds).select("part", "shard").orderBy("part", "shard").toLocalIterator():
+        row = spark.read.parquet(path).where((F.col("part") == found.part) & (F.col("shard") == found.shard)).first().asDict()
+        made = _grammar(row)
+        out += [grammar.decode_range(made, i, first, end).tolist() for i, k in enumerate(row["keys"]) if k == key]
+    return out

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablespoon.llm import (
-    decontaminate, licenses, line_rules, mixing, near_dup, pii, quality_rank, queries, secret_scan, spans, token_store, url_filter,
+    decontaminate, grammar, licenses, line_rules, mixing, near_dup, pii, quality_rank, queries, secret_scan, spans, token_store, url_filter,
 )
 
 from tablespoon.llm.words import ALNUM, hashed_words, text_bytes
@@ -191,8 +191,21 @@ def test_token_files_hold_what_the_library_encodes(spark, tmp_path):
         crc = zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
         assert (made.doc_id, made.start, made.n_tokens, made.ids_crc32, made.ids) == (row.doc_id, start, len(ids), crc, ids)
         start += len(ids)
-    some = found[3]
-    assert token_store.read_document(spark, path, some.part, some.shard, some.place) == some.ids
+    for some in (found[0], found[3], max(found, key=lambda r: r.n_tokens)):
+        assert some.ids in token_store.read_document(spark, path, some.doc_id)
+        assert some.ids[2:5] in token_store.read_document(spark, path, some.doc_id, 2, 5)
+    assert token_store.read_document(spark, path, -5) == []
+
+
+def test_ranges_of_documents_expand_as_a_whole_decode(spark):
+    rng = np.random.default_rng(1)
+    phrases = [rng.integers(0, 50, 8) for _ in range(10)]
+    docs = [np.concatenate([*(phrases[i] for i in rng.integers(0, 10, rng.integers(0, 60))), [2]]) for _ in range(100)]
+    made = grammar.compress(np.concatenate(docs).astype(np.uint32), np.cumsum([len(d) for d in docs]), 60)
+    assert len(made.left) > 100
+    for i, d in enumerate(docs):
+        for first, end in ((0, None), (3, 9), (len(d) - 1, None), (5, 5), (0, 10**9)):
+            assert grammar.decode_range(made, i, first, end).tolist() == d[first:end].tolist()
 
 
 def test_no_documents_make_no_tokens(spark, tmp_path):
