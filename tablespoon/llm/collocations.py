@@ -15,13 +15,14 @@ Each level is one scan of the text and one sum of partial counts; text is never
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablespoon.llm.suffix_dedup import _marked, bitmap
@@ -34,11 +35,12 @@ COVER = 80  # percent of a phrase's occurrences that a longer one may hold
 HEADS = 1 << 19
 FILTER_BITS = 26
 TILE_BITS = 10
-BLOCK_BYTES = 1 << 20  # text handled at once
-DENSE = 1 << 13  # hits of a block from which a tile of 2**20 cells is an array
-DENSE_TILES = 6  # arrays that a task keeps
+BATCH_ROWS = 1000
+BLOCK_BYTES = 1 << 19  # text handled at once
+DENSE = 1 << 12  # hits of a block from which a tile of 2**20 cells is an array
+DENSE_TILES = 4  # arrays that a task keeps
 WORDS_HELD = 200_000  # counted words that a task gathers before it hands them on
-LISTED = 1 << 20  # distinct addresses that a task gathers before it hands them on
+LISTED = 3 << 18  # distinct addresses that a task gathers before it hands them on
 SALTS = 64
 
 _WORD = byte_class(b" \t.,;:!?\n\x0b\x0c\r")
@@ -282,7 +284,7 @@ def collocations(
     """
     spark = docs.sparkSession
     scan = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    with intermediates(spark, keep=("ranked",)):
+    with _small_batches(spark), intermediates(spark, keep=("ranked",)):
         counted = scan.mapInArrow(_word_counts("text", "lang"), "h long, lang string, phrase string, n long")
         words = stored(counted.groupBy("h", "lang", "phrase").agg(F.sum("n").alias("n")), "words")
         totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -300,6 +302,18 @@ def collocations(
         return stored(ranked, "ranked")
 
 
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Texts go to Python workers in batches of ``BATCH_ROWS``; all passes run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _judged(levels: list[DataFrame], cover: int) -> DataFrame:
     """(lang, phrase, n, best) of all phrases that no longer one covers; ``best`` has score and parts."""
     words = levels[0].select("h", "lang", "phrase", "n", F.col("n").alias("n1"))
