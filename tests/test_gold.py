@@ -121,3 +121,10 @@ def test_one_order_with_most_of_the_lines_is_collapsed_before_the_window(spark):
         {"line_net_revenue": F.lit(1), "discount_amount": F.lit(0), "discounted": F.lit(0)}
     ))))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Window") < plan.index("HashAggregate", plan.index("Window"))  # aggregate feeds the window
+
+
+def test_order_lines_are_dealt_twice_at_most(spark):
+    lines = shop.items(spark, shop.line("1", "a"), shop.line("1", "b", category="Tea"), shop.line("2", "c"), shop.line("2", "c"))
+    found = O.order_items_agg(lines)
+    assert shop.rows(found, "order_id", "total_items", "distinct_categories") == [("1", 2, 2), ("2", 2, 1)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 2
