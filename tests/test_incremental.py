@@ -232,3 +232,40 @@ def test_checks_from_the_write_equal_checks_by_scan(warehouse):
     assert scans(scanned) - scans(measured) >= len(Q.row_rules())
     assert failed_checks(warehouse) == []
     assert failed_checks(warehouse, by_design=()) == [("silver.order_items", "same_count")]
+
+
+def test_silver_lines_keep_the_folders_of_bronze(warehouse, tmp_path):
+    """A table of the same month folders is not dealt anew, and nothing is sorted for a few folders."""
+    lines = warehouse.silver("order_items")
+    assert warehouse._in_place("silver", "order_items") and not warehouse._in_place("bronze", "order_items")
+    layout = Layout(str(tmp_path))
+    write_table(lines, layout, "silver", "order_items", ["order_date_partition_month"], in_place=True)
+    again = lines.sparkSession.read.parquet(layout.path("silver", "order_items"))
+    assert shop.rows(again, *lines.columns) == shop.rows(lines)
+    month = F.substring("order_date_partition", 1, 7)
+    assert again.filter(F.col("order_date_partition_month") != month).count() == 0
+
+
+def test_rows_of_the_snapshot_are_known_without_observing_them(warehouse):
+    snapshot = warehouse.gold("fct_customer_daily_snapshot")
+    assert SNAPSHOT not in warehouse.measured
+    assert warehouse.rows_written[SNAPSHOT] == snapshot.agg(F.count_if(F.col("date_key").isNotNull())).first()[0]
+
+
+def test_digest_reads_every_value_as_text(spark):
+    """Zero, negative and missing amounts, days that the calendar has and lacks, customers without a name."""
+    money, d = shop.money, dt.date(2023, 1, 1)
+    rows = [
+        ("a", d, True, 0, money(0), money(-1), None, 0, money(0), None, None, "Low", "Churned"),
+        ("a", d + dt.timedelta(days=9), None, 2, money(1), money("0.01"), money(0), 2, money("12.30"), 0, money(0), "High", None),
+        (None, None, False, 1, money(5), money(5), money("-0.00"), 1, money(5), 3, money("1.50"), None, "Active"),
+    ]
+    schema = ("user_id string, date_key date, is_loyalty boolean, daily_order_count bigint, daily_gross_revenue decimal(18,2),"
+              " daily_net_revenue decimal(18,2), daily_discount_amount decimal(18,2), cumulative_order_count int,"
+              " cumulative_ltv decimal(18,2), days_since_last_order int, avg_order_gap_days decimal(10,2),"
+              " clv_segment string, churn_risk_flag string")
+    df = spark.createDataFrame(rows, schema)
+    plain = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entry.X.SNAPSHOT_TEXT))
+    number = F.conv(F.substring(F.md5(plain.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    wanted = df.groupBy("user_id").agg(F.count(F.lit(1)).alias("days"), F.sum(number).alias("digest"))
+    assert shop.rows(entry._digest(df, shop.dates(spark, "2023-01-01", "2023-01-03"))) == shop.rows(wanted)
