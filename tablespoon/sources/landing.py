@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+PIECE_BITS = 16  # 65,536 lines of a block of text, at most, are put in order at once
+
+
 def _all_text(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
@@ -128,16 +131,19 @@ def scan_quoted_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructT
     """CSV with a header and quoted fields that may hold newlines, read by as many tasks as the files have blocks.
 
     Each physical line either keeps, swaps or sets whether a quoted field is open. These effects compose, so a prefix over
-    the lines of a block, and one over the few blocks of a file, tell for every line whether it starts a record; no task
+    the lines of a piece of a block, and one over the few pieces of a file, tell for every line whether it starts a record; no task
     reads more than a block. Lines that are records go on as they are, others are put together, also across blocks.
     Lines end with a newline, or carriage return and newline; commas, double quotes and backslash as escape as in the
     plain reader, whose rows these are, in another order.
     """
     whole = Window.partitionBy("file", "block").orderBy("line")
     text = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start_byte"),
         F.monotonically_increasing_id().alias("line"),
     )
+    # lines of a block are numbered on, so cut by number they stay in order: pieces of a bounded number of lines to sort
+    piece = F.struct("start_byte", F.shiftright("line", PIECE_BITS).alias("nth"))
+    text = text.select("value", "file", piece.alias("block"), "line")
     o, i = _quote_effects(F.col("value"))
     lines = _with_swaps(text.withColumns({"o": o, "i": i}), whole)
     after = lambda state: F.when(state == 0, F.col("o")).otherwise(F.col("i"))
@@ -153,7 +159,7 @@ def scan_quoted_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructT
     )
     last = F.last(F.when(F.col("records") > 0, F.struct(F.col("block").alias("block"), "records")), ignorenulls=True)
     starts = starts.select(
-        F.col("file").alias("_f"), F.col("block").alias("_b"), "start", F.first("returns").over(file).alias("returns"), last.over(file.rowsBetween(Window.unboundedPreceding, -1)).alias("carried")
+        F.col("file").alias("_f"), F.col("block").alias("_b"), "start", F.first("returns").over(file).alias("returns"), F.first("block").over(file).alias("top"), last.over(file.rowsBetween(Window.unboundedPreceding, -1)).alias("carried")
     )
     rows = lines.join(starts, (F.col("file") == F.col("_f")) & (F.col("block") == F.col("_b")))
     rows = rows.withColumn("open", _open_before(whole, F.col("start")))
@@ -163,17 +169,17 @@ def scan_quoted_csv(spark: SparkSession, paths: Sequence[str], schema: T.StructT
     rows = rows.select(
         "file", F.when(at_home, F.col("block")).otherwise(F.col("carried.block")).alias("home"),
         F.when(at_home, F.col("nth")).otherwise(F.col("carried.records")).alias("nth"), "block", "line", "value",
-        ((F.col("open") == 0) & (F.col("o") == 0)).alias("alone"), "returns",
+        ((F.col("open") == 0) & (F.col("o") == 0)).alias("alone"), "returns", "top",
     )
-    alone = rows.where("alone AND value NOT IN ('', '\r')").select("home", "nth", F.col("value").alias("record"))
+    alone = rows.where("alone AND value NOT IN ('', '\r')").select("home", "nth", "top", F.col("value").alias("record"))
     parts = rows.where("NOT alone").groupBy("file", "home", "nth").agg(
-        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"), F.any_value("returns").alias("returns")
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("parts"), F.any_value("returns").alias("returns"), F.any_value("top").alias("top")
     )
     joined = F.array_join(F.transform("parts", lambda p: p["value"]), "\n")
     # as the plain reader: where the first line of a file ends with both characters, newlines in fields lose the first
     joined = F.when(F.col("returns"), F.replace(joined, F.lit("\r\n"), F.lit("\n"))).otherwise(joined)
-    joined = parts.select("home", "nth", joined.alias("record"))
-    records = alone.unionByName(joined).where("NOT (home = 0 AND nth = 1)")  # without headers
+    joined = parts.select("home", "nth", "top", joined.alias("record"))
+    records = alone.unionByName(joined).where("NOT (home = top AND nth = 1)")  # without headers
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     record = F.regexp_replace("record", r"\r$", "")
     return records.select(F.from_csv(record, names, {"multiLine": "true"}).alias("r")).select("r.*")

@@ -1,11 +1,16 @@
 """Plans and rows of the steps that take most of the shuffled volume."""
 
+import random
 import re
+from collections import Counter
 
+import pytest
 import shop
+from pyspark.sql import types as T
 
 from tablespoon.operators import daily_sales as A
 from tablespoon.operators import order_summary as O
+from tablespoon.sources import landing, load_landing
 
 
 def exchanges(df):
@@ -49,3 +54,16 @@ def test_lines_and_options_meet_in_one_shuffle(spark):
     totals = A.with_order_discount(A.order_category_totals(lines))
     assert len(exchanges(totals)) == 1
     assert len(exchanges(A.daily_sales(totals))) == 2
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_quoted_csv_is_put_in_order_in_pieces_of_a_block(spark, tmp_path, monkeypatch, bits):
+    """Records, open fields and headers of files in one block each, cut into pieces of one to eight lines."""
+    monkeypatch.setattr(landing, "PIECE_BITS", bits)
+    rng = random.Random(bits)
+    for name in "abc":
+        rows = [f'{i},"{rng.choice(["x", "x,y", "x" + chr(10) * rng.randrange(1, 20) + "y"])}"' if rng.random() < 0.5 else f"{i},z" for i in range(40)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(["a,b", *rows]))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "ab"])
+    plain = spark.read.option("header", "true").option("multiLine", "true").schema(schema).csv(str(tmp_path))
+    assert Counter(map(tuple, load_landing(spark, str(tmp_path), "csv", schema).collect())) == Counter(map(tuple, plain.collect()))
