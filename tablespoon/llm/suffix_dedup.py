@@ -7,11 +7,12 @@ into collections of short texts that tasks treat independently:
 
 1. One scan counts anchors; a bitmap of fixed size holds those that occur again.
 2. A second scan writes the contexts of these. Equal contexts are one text of the collection; all but the first go.
-3. Different contexts of an anchor are gathered into shards of bounded size. Each shard's suffixes are sorted once into a
-   transform; the transforms of a task are merged by refining their interleave, one symbol of two bytes a round: the
-   order of all suffixes by ``h`` symbols, taken through the symbols that stand before them, is the order by ``h + 1``.
-   The round in which two neighbours part is their common prefix. After ``length / 2`` rounds the intervals that are
-   left are the repeated strings. No suffix is sorted again.
+3. Different contexts of an anchor are gathered into shards of bounded size, small anchors together. Each shard's suffixes
+   are sorted once into a transform, to the depth of a string; suffixes that do not part are the repeated strings. Where an
+   anchor has several shards, their transforms are merged by refining their interleave, one symbol of two bytes a round:
+   the order of all suffixes by ``h`` symbols, taken through the symbols that stand before them, is the order by
+   ``h + 1``. The round in which two neighbours part is their common prefix. After ``length / 2`` rounds the intervals
+   that are left are the repeated strings. Shards of different anchors share no string and are not merged.
 4. An anchor with very many different contexts (a line that stands in a large part of all documents) is cut: its strings
    go by their place around the anchor, eight places together, then one, each with the bytes they all share as the key.
 
@@ -21,6 +22,7 @@ Text bytes are shuffled only for different contexts of one anchor, and once at t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,7 @@ from tablespoon.session import intermediates, scratch_dir, stored
 LENGTH = 100
 FILTER_BITS = 27  # the bitmaps have 2**27 bits, 16 MB, whatever the input
 SLICE = 1 << 20  # string starts treated at once, also inside a longer document
+CHUNK = 1 << 14  # places hashed at once
 SHARD_BYTES = 1 << 16
 MERGE_BYTES = 1 << 20  # contexts merged at once
 LARGEST = 1024  # different contexts of an anchor that are merged as they are
@@ -47,52 +50,103 @@ def _shape(length: int) -> tuple[int, int]:
     return span, length - span + 1
 
 
-def _shifted(x: np.ndarray, k: int) -> np.ndarray:
-    out = np.zeros_like(x)
-    out[: max(len(x) - k, 0)] = x[k:]
+@lru_cache(maxsize=2)
+def _scales(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base, and of its inverse modulo 2**64."""
+    out = []
+    for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+        power = np.full(n, base, dtype=np.uint64)
+        power[0] = 1
+        out.append(np.multiply.accumulate(power, out=power))
+    return out[0], out[1]
+
+
+def _scales_for(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _scales(max(SLICE, 1 << n.bit_length()))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """:func:`mix64` in place."""
+    y = x >> np.uint64(30)
+    x ^= y
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    np.right_shift(x, np.uint64(27), out=y)
+    x ^= y
+    x *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(x, np.uint64(31), out=y)
+    x ^= y
+    return x
+
+
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomial sums of the bytes before each place; the hash of any span is a difference of two."""
+    up, _ = _scales_for(len(data))
+    out = np.zeros(len(data) + 1, dtype=np.uint64)
+    for at in range(0, len(data), CHUNK):
+        value = _VALUES.take(data[at : at + CHUNK])
+        value *= up[at : at + len(value)]
+        value[:1] += out[at : at + 1]
+        np.cumsum(value, out=out[at + 1 : at + 1 + len(value)])
     return out
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from each place on; hashes of powers of two are put together."""
-    part, power, width = _VALUES[data], _BASE, 1
-    out, covered, factor = None, 0, np.uint64(1)
-    with np.errstate(over="ignore"):
-        while width <= size:
-            if size & width:
-                out = part.copy() if out is None else out + _shifted(part, covered) * factor
-                factor, covered = factor * power, covered + width
-            if 2 * width <= size:
-                part = part + _shifted(part, width) * power
-            power, width = power * power, 2 * width
-    return mix64(out)
+def gram_hashes(sums: np.ndarray, first: int, last: int, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each of the places ``first`` to ``last - 1`` on."""
+    out = sums[first + size : last + size] - sums[first:last]
+    out *= _scales_for(len(sums) - 1)[1][first:last]
+    return _mixed(out)
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, length: int):
-    """(hash, place, first string start, number of starts) of every anchor in ``data``; strings stay within rows."""
+def _sums_of(sums: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return (sums[starts + lengths] - sums[starts]) * _scales_for(len(sums) - 1)[1][starts]
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """:func:`hash_spans`, by the prefix sums of the data."""
+    return _mixed(_sums_of(sums, starts, lengths) ^ (lengths.astype(np.uint64) << np.uint64(1)))
+
+
+def anchors(data: np.ndarray, bounds: np.ndarray, length: int, sums: np.ndarray | None = None):
+    """(hash, place, first string start, number of starts) of every anchor in ``data``; strings stay within rows.
+
+    The places of a chunk are taken together, so that its numbers stay in the cache.
+    """
     span, gram = _shape(length)
-    none = np.zeros(0, dtype=np.int64)
-    if len(data) < length:
-        return np.zeros(0, dtype=np.uint64), none, none, none
-    hashes = gram_hashes(data, gram)
-    bits = np.uint64(max(len(data).bit_length(), 1))
-    least = (hashes >> bits << bits) | np.arange(len(data), dtype=np.uint64)  # the leftmost of equal hashes
-    width = 1
-    while width < span:
-        np.minimum(least[:-width], least[width:], out=least[:-width])
-        width *= 2
     size = np.diff(bounds)
-    fits = np.zeros(len(data) + 1, dtype=np.int32)
     long = size >= length
-    fits[bounds[:-1][long]] += 1
-    fits[bounds[1:][long] - length + 1] -= 1
-    starts = np.flatnonzero(np.cumsum(fits[:-1]) > 0)
-    if not len(starts):
+    if not long.any():
+        none = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=np.uint64), none, none, none
-    place = (least[starts] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    head = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+    sums = prefix_sums(data) if sums is None else sums
+    total = len(data) - length + 1
+    places = np.empty(total, dtype=np.int64)
+    low = (np.uint64(1) << np.uint64((CHUNK + span).bit_length())) - np.uint64(1)
+    for at in range(0, total, CHUNK):
+        many = min(CHUNK, total - at) + span - 1
+        least = gram_hashes(sums, at, at + many, gram)
+        least &= ~low
+        least |= np.arange(many, dtype=np.uint64)  # the leftmost of equal hashes
+        other, width = np.empty_like(least), 1
+        while width < span:
+            many -= width
+            np.minimum(least[:many], least[width : many + width], out=other[:many])
+            least, other, width = other, least, 2 * width
+        least[:many] &= low
+        np.add(least[:many].view(np.int64), at, out=places[at : at + many])
+    fits = np.zeros(total + 1, dtype=np.int8)
+    fits[bounds[:-1][long]] = 1
+    fits[bounds[1:][long] - length + 1] = -1
+    fits = np.cumsum(fits[:-1], dtype=np.int8).view(bool)
+    head = np.ones(total, dtype=bool)
+    np.not_equal(places[1:], places[:-1], out=head[1:])
+    head[1:] |= ~fits[:-1]
+    start = np.flatnonzero(head & fits)
+    place = places[start]
+    stop = bounds[np.searchsorted(bounds, start, side="right")] - length + 1
+    many = np.minimum(np.append(start[1:], total), stop) - start
+    hashes = _mixed(_sums_of(sums, place, np.int64(gram)))
     # least hashes share their leading bits, which the bitmaps go by, so they are mixed again
-    return mix64(hashes[place[head]] ^ _BASE), place[head], starts[head], np.diff(np.append(head, len(starts)))
+    return _mixed(hashes ^ _BASE), place, start, many
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], text: str, length: int):
@@ -137,7 +191,8 @@ def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _binary(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    raw = np.ascontiguousarray(data[_spread(first, size)])
+    view = memoryview(np.ascontiguousarray(data))
+    raw = b"".join([view[a:b] for a, b in zip(first.tolist(), (first + size).tolist())])
     return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
 
 
@@ -150,14 +205,15 @@ def _contexts(kept, text: str, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds, offset in _pieces(batches, text, length):
-            hashes, place, start, many = anchors(data, bounds, length)
+            sums = prefix_sums(data)
+            hashes, place, start, many = anchors(data, bounds, length, sums)
             some = _marked(kept.value, hashes)
             hashes, place, start, many = hashes[some], place[some], start[some], many[some]
             if not len(hashes):
                 continue
             row = np.searchsorted(bounds, start, side="right") - 1
             doc, t = (_long(rows.column(rows.schema.get_field_index(c)))[row] for c in ("__doc", "__t"))
-            whole = hash_spans(data, start, many + length - 1) ^ mix64((place - start + 1).astype(np.uint64))
+            whole = span_hashes(sums, start, many + length - 1) ^ mix64((place - start + 1).astype(np.uint64))
             p = start - bounds[row] + offset
             order = np.lexsort((p, t, doc, whole, hashes))
             same = np.zeros(len(order), dtype=bool)
@@ -218,28 +274,87 @@ def _symbols(data: np.ndarray, bounds: np.ndarray):
     return symbol, before, begin
 
 
+def _order(ranks: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of their ranks of ``bits`` bits, equal ones by place; and where a new rank begins."""
+    n = len(ranks[0])
+    low = max(n - 1, 1).bit_length()
+    if bits * len(ranks) + low > 64:
+        order = np.lexsort(ranks[::-1])
+        parted = np.zeros(n, dtype=bool)
+        for rank in ranks:
+            parted[1:] |= rank[order[1:]] != rank[order[:-1]]
+    else:
+        key = ranks[0].astype(np.uint64)
+        for rank in ranks[1:]:
+            key <<= np.uint64(bits)
+            key |= rank.astype(np.uint64)
+        key <<= np.uint64(low)
+        key |= np.arange(n, dtype=np.uint64)
+        key.sort()
+        order = (key & ((np.uint64(1) << np.uint64(low)) - np.uint64(1))).astype(np.int64)
+        key >>= np.uint64(low)
+        parted = np.zeros(n, dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=parted[1:])
+    parted[:1] = True
+    return order, parted
+
+
+def ordered(symbol: np.ndarray, before: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order of their first ``rounds`` symbols, equal ones by place; and which ones differ from the one before.
+
+    Sorted by prefix doubling, or tripling where three ranks and a place fit into 64 bits.
+    """
+    n = len(before)
+    after = np.empty(n, dtype=np.int64)
+    after[before] = np.arange(n)
+    bits = max(n - 1, 1).bit_length()
+    ranks, jump = [symbol], after
+    while len(ranks) < min(rounds, max((64 - bits) // 16, 1)):
+        ranks.append(symbol[jump])
+        jump = after[jump]
+    known = len(ranks)  # ``jump`` goes as many symbols ahead
+    order, parted = _order(ranks, 16)
+    while known < rounds and not parted.all():
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(parted) - 1
+        depth = min(known * max(64 // bits - 1, 2), rounds)
+        ranks, at, far = [rank], 0, np.arange(n)
+        while at + known < depth:
+            step = min(known, depth - known - at)
+            far = (jump if step == known else _ahead(after, step))[far]
+            ranks.append(rank[far])
+            at += step
+        if depth < rounds:
+            jump, known = jump[far], depth
+        else:
+            known = rounds
+        order, parted = _order(ranks, bits)
+    return order, parted
+
+
+def _ahead(after: np.ndarray, steps: int) -> np.ndarray:
+    """Places ``steps`` symbols ahead."""
+    out, power = np.arange(len(after)), after
+    while steps:
+        if steps & 1:
+            out = power[out]
+        steps >>= 1
+        power = power[power] if steps else power
+    return out
+
+
 def transform(data: np.ndarray, bounds: np.ndarray, rounds: int):
     """Burrows-Wheeler transform of a shard of short texts, to a depth of ``rounds`` symbols.
 
-    Returns (symbol before each sorted suffix, slot of the suffix that starts there, place of each slot). Sorted by
-    prefix doubling, bounded by the depth.
+    Returns (symbol before each sorted suffix, slot of the suffix that starts there, place of each slot, whether its first
+    ``rounds`` symbols differ from the slot's before).
     """
     symbol, before, _ = _symbols(data, bounds)
-    after = np.empty(len(before), dtype=np.int64)
-    after[before] = np.arange(len(before))
-    rank, known, jump = symbol.astype(np.int64), 1, after
-    while True:
-        order = np.argsort(rank, kind="stable")
-        head = np.concatenate([[0], np.cumsum(rank[order][1:] != rank[order][:-1])])
-        dense = np.empty(len(order), dtype=np.int64)
-        dense[order] = head
-        if known >= rounds or (len(head) and head[-1] == len(head) - 1):
-            break
-        rank = dense * (len(order) + 1) + dense[jump]
-        jump, known = jump[jump], 2 * known
+    order, parted = ordered(symbol, before, rounds)
     slot = np.empty(len(order), dtype=np.int64)
     slot[order] = np.arange(len(order))
-    return symbol[before][order], slot[before[order]], order
+    back = before[order]
+    return symbol[back], slot[back], order, parted
 
 
 def merged(shards: list, rounds: int):
@@ -301,28 +416,59 @@ def merged(shards: list, rounds: int):
     return np.argsort(block, kind="stable"), common
 
 
-def repeats(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES):
+def _collections(ends: np.ndarray, cuts: np.ndarray, shard_bytes: int) -> Iterator[list[tuple[int, int]]]:
+    """Texts to be compared, as shards (first text, text after the last) of at most ``shard_bytes`` places or one text.
+
+    ``cuts`` has the first text of each anchor and the number of texts. Whole anchors share a shard; only the shards of
+    one large anchor have strings in common and are merged.
+    """
+    marks, at = ends[cuts], 0
+    while at < len(cuts) - 1:
+        to = int(np.searchsorted(marks, marks[at] + shard_bytes, side="right")) - 1
+        if to > at:
+            yield [(int(cuts[at]), int(cuts[to]))]
+            at = to
+            continue
+        text, last, shards = int(cuts[at]), int(cuts[at + 1]), []
+        while text < last:
+            end = int(np.searchsorted(ends, ends[text] + shard_bytes, side="right")) - 1
+            end = min(max(end, text + 1), last)
+            shards.append((text, end))
+            text = end
+        yield shards
+        at += 1
+
+
+def repeats(
+    data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES, anchor: np.ndarray | None = None
+):
     """Repeated strings of a collection: (interval, text, place) of every string start whose ``length`` bytes occur twice.
 
-    String starts of text ``i`` are its first ``starts[i]`` places. An odd ``length`` is compared by its last byte after the
-    even part.
+    String starts of text ``i`` are its first ``starts[i]`` places. Texts come sorted by ``anchor``, and only those of one
+    share strings; without it all may. An odd ``length`` is compared by its last byte after the even part.
     """
-    rounds = length // 2
-    cuts = np.unique(np.concatenate([np.searchsorted(bounds, np.arange(0, bounds[-1], shard_bytes)), [len(bounds) - 1]]))
-    shards, text, place = [], [], []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        part = bounds[a : b + 1] - bounds[a]
-        made = transform(data[bounds[a] : bounds[b]], part, rounds)
-        begin = part[:-1] + 2 * np.arange(b - a)
-        whose = np.searchsorted(begin, made[2], side="right") - 1
-        shards.append(made)
-        text.append(whose + a)
-        place.append(made[2] - begin[whose])
-    order, common = merged(shards, rounds)
-    text, place = np.concatenate(text)[order], np.concatenate(place)[order]
-    interval = np.cumsum(common < rounds)
-    some = place < starts[text]
-    interval, text, place = interval[some], text[some], place[some]
+    rounds, texts = length // 2, len(bounds) - 1
+    cuts = [0, texts] if anchor is None else [0, *(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1).tolist(), texts]
+    found, last = [], 0
+    for shards in _collections(bounds + 2 * np.arange(texts + 1), np.unique(cuts), shard_bytes):
+        made, text, place = [], [], []
+        for a, b in shards:
+            part = bounds[a : b + 1] - bounds[a]
+            made.append(transform(data[bounds[a] : bounds[b]], part, rounds))
+            begin, order = part[:-1] + 2 * np.arange(b - a), made[-1][2]
+            whose = np.repeat(np.arange(b - a), np.diff(part) + 2)[order]
+            text.append(whose + a)
+            place.append(order - begin[whose])
+        if len(made) == 1:
+            parted, text, place = made[0][3], text[0], place[0]
+        else:
+            order, common = merged(made, rounds)
+            parted, text, place = common < rounds, np.concatenate(text)[order], np.concatenate(place)[order]
+        some = place < starts[text]
+        interval = last + np.cumsum(parted)
+        last = int(interval[-1])
+        found.append((interval[some], text[some], place[some]))
+    interval, text, place = (np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in (zip(*found) if found else ((),) * 3))
     if length % 2 and len(interval):
         last = data[bounds[text] + place + length - 1].astype(np.int64)
         again = np.lexsort((last, interval))
@@ -345,7 +491,7 @@ def _merge(length: int, merge_bytes: int, shard_bytes: int):
         doc, t, p, n = (rows[c].to_numpy() for c in ("doc", "t", "p", "n"))
         age = np.empty(len(doc), dtype=np.int64)
         age[np.lexsort((p, t, doc))] = np.arange(len(doc))
-        interval, text, place = repeats(data, bounds - bounds[0], n, length, shard_bytes)
+        interval, text, place = repeats(data, bounds - bounds[0], n, length, shard_bytes, rows["h"].to_numpy())
         order = np.lexsort((place, age[text], interval))
         interval, text, place = interval[order], text[order], place[order]
         later = np.flatnonzero(np.concatenate([[False], interval[1:] == interval[:-1]])) if len(interval) else order

@@ -12,7 +12,7 @@ import pytest
 from test_operators import ODD
 
 from tablespoon.llm import collocations, queries, suffix_dedup, token_align
-from tablespoon.llm.words import text_bytes
+from tablespoon.llm.words import hash_spans, text_bytes
 
 SF = "/root/testdata/sf0.001"
 PATHS = tuple(map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
@@ -107,6 +107,52 @@ def test_merged_transforms_sort_suffixes():
     assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in wanted.values() if len(v) > 1)
 
 
+def test_only_shards_of_one_anchor_are_merged(monkeypatch):
+    rng = random.Random(5)
+    rows = []
+    for h in range(40):
+        lines = ["".join(rng.choice("ab") for _ in range(6)) for _ in range(30 if h == 7 else 2)]
+        rows += [(h, c, 100 * h + c, 0, 5, 3, 1, f"{x[:2]}{h:02}{x[2:]}".encode()) for c, x in enumerate(lines)]
+    batch = pa.RecordBatch.from_pydict(dict(zip("h c doc t p n o body".split(), zip(*rows))))
+    batch = batch.set_column(7, "body", batch.column("body").cast(pa.binary()))
+    merged, seen = suffix_dedup.merged, []
+    monkeypatch.setattr(suffix_dedup, "merged", lambda shards, rounds: seen.append(len(shards)) or merged(shards, rounds))
+    spans = pa.Table.from_batches(suffix_dedup._merge(6, 1 << 20, 100)(iter([batch])))
+    assert seen == [3]  # only the anchor that is larger than a shard
+    first, gone = {}, set()
+    for _, _, doc, _, p, n, _, body in rows:
+        for i in range(n):
+            if first.setdefault(body[i : i + 6], doc) != doc:
+                gone |= {(doc, x) for x in range(p + i, p + i + 6)}
+    assert gone == {(r["doc"], x) for r in spans.to_pylist() for x in range(r["a"], r["b"])}
+
+
+@pytest.mark.parametrize(("n", "rounds"), [(1, 5), (40, 1), (3000, 7), (3000, 50)])
+def test_suffixes_are_ordered_to_the_depth(n, rounds):
+    rng = np.random.default_rng(n + rounds)
+    data = np.concatenate([np.tile(rng.integers(97, 99, n), 3), rng.integers(97, 99, n)]).astype(np.uint8)
+    bounds = np.array([0, 2 * n, 2 * n, 4 * n])
+    symbol, before, begin = suffix_dedup._symbols(data, bounds)
+    order, parted = suffix_dedup.ordered(symbol, before, rounds)
+    assert sorted(order.tolist()) == list(range(len(before)))
+    after = np.empty_like(before)
+    after[before] = np.arange(len(before))
+    keys, at = [symbol], after
+    for _ in range(rounds - 1):
+        keys, at = [*keys, symbol[at]], after[at]
+    keys = np.stack(keys, axis=1)[order].tolist()
+    assert keys == sorted(keys)
+    assert parted.tolist() == [True, *(a != b for a, b in zip(keys, keys[1:]))]
+
+
+def test_hashes_of_spans_by_prefix_sums():
+    rng = np.random.default_rng(8)
+    data = rng.integers(0, 256, 100_000).astype(np.uint8)
+    starts = np.sort(rng.integers(0, 99_000, 500))
+    lengths = np.arange(1, 501)
+    assert np.array_equal(suffix_dedup.span_hashes(suffix_dedup.prefix_sums(data), starts, lengths), hash_spans(data, starts, lengths))
+
+
 # --- collocations --------------------------------------------------------------------------------------------------
 
 
