@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablespoon.llm.words import blocks, hash_spans
-from tablespoon.session import intermediates, stored
+from tablespoon.session import LARGE_ROWS, intermediates, stored
 
 CHUNK_BYTES = 1 << 15  # byte range of a fragment
 BLOCK_BYTES = 1 << 18  # text aligned at once
@@ -345,16 +344,16 @@ class Blocks:
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         raw = lambda values: pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())
         columns = [
-            pa.array([uuid.uuid4().hex]), one(pa.concat_arrays(self.keys)), raw(sums.astype("<i8")), one(pa.array(self.shas, pa.string())),
+            one(pa.concat_arrays(self.keys)), raw(sums.astype("<i8")), one(pa.array(self.shas, pa.string())),
             raw(ends.astype("<i8")), raw(slot.astype("<i4")), raw(times.astype("<i8")), one(pa.array(pairs)), one(pa.array(total)),
         ]
         self._clear()
-        yield pa.RecordBatch.from_arrays(columns, ["block", "keys", "sums", "shas", "ends", "slot", "times", "pairs", "total"])
+        yield pa.RecordBatch.from_arrays(columns, ["keys", "sums", "shas", "ends", "slot", "times", "pairs", "total"])
 
 
 def _block_schema(kind: str) -> str:
     return (
-        f"block string, keys array<{kind}>, sums binary, shas array<string>, ends binary, slot binary, times binary, "
+        f"keys array<{kind}>, sums binary, shas array<string>, ends binary, slot binary, times binary, "
         "pairs array<long>, total array<long>"
     )
 
@@ -488,24 +487,23 @@ def composed(fragments_: DataFrame) -> DataFrame:
         if not last:
             return fragments_
         grouped = fragments_.groupBy("rid", F.floor(F.col("idx") / FAN).alias("part"))
-        fragments_ = stored(grouped.applyInArrow(_compose, _FRAGMENT), "fragments")
+        fragments_ = stored(grouped.applyInArrow(_compose, _FRAGMENT), "fragments", LARGE_ROWS)
 
 
-def _scored(kind: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                get = lambda c: batch.column(batch.schema.get_field_index(c))[r]
-                sums = np.frombuffer(get("sums").as_py(), dtype="<i8").reshape(-1, 4)
-                ends, times = (np.frombuffer(get(c).as_py(), dtype="<i8") for c in ("ends", "times"))
-                slot = np.frombuffer(get("slot").as_py(), dtype="<i4")
-                count, best = np.zeros((2, len(get("pairs"))), dtype=np.int64)
-                if get("known").is_valid and len(get("known")):
-                    place, number, top = (x.to_numpy(zero_copy_only=False) for x in get("known").values.flatten())
-                    count[place], best[place] = number, top
-                run_ = [np.concatenate([[0], np.cumsum(x[slot] * times)]) for x in (best, count)]
-                columns = [get("keys").values, *(pa.array(sums[:, k]) for k in range(4)), *(pa.array(np.diff(x[ends])) for x in run_), get("shas").values]
-                yield pa.RecordBatch.from_arrays(columns, [kind, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+def _scored(key: str):
+    """The documents of a block, from its row and from what is known of its pairs by their place."""
+
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        get = lambda c: block.column(c)[0]
+        sums = np.frombuffer(get("sums").as_py(), dtype="<i8").reshape(-1, 4)
+        ends, times = (np.frombuffer(get(c).as_py(), dtype="<i8") for c in ("ends", "times"))
+        slot = np.frombuffer(get("slot").as_py(), dtype="<i4")
+        count, best = np.zeros((2, get("n_pairs").as_py()), dtype=np.int64)
+        place = known.column("place").to_numpy()
+        count[place], best[place] = known.column("count").to_numpy(), known.column("best").to_numpy()
+        run_ = [np.concatenate([[0], np.cumsum(x[slot] * times)]) for x in (best, count)]
+        columns = [get("keys").values, *(pa.array(sums[:, k]) for k in range(4)), *(pa.array(np.diff(x[ends])) for x in run_), get("shas").values]
+        return pa.Table.from_arrays(columns, [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     return run
 
@@ -539,16 +537,16 @@ def align_tokens(
         rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         size = F.coalesce(F.octet_length("text"), F.lit(0))
         aligned = rows.where(size <= chunk).mapInArrow(_short(paths, "key", "text"), _block_schema(kind))
-        numbered = stored(rows.where(size > chunk).withColumn("rid", F.monotonically_increasing_id()), "long")
+        numbered = stored(rows.where(size > chunk).withColumn("rid", F.monotonically_increasing_id()), "long", LARGE_ROWS)
         ranges = numbered.select("rid", "text").mapInArrow(_ranges(chunk), _UNIT)
         spread = ranges.repartition("rid", "idx").mapInArrow(_aligned(paths), _FRAGMENT)
-        whole = composed(stored(spread, "fragments")).join(numbered.select("rid", "key"), "rid")
+        whole = composed(stored(spread, "fragments", LARGE_ROWS)).join(numbered.select("rid", "key"), "rid")
         aligned = aligned.unionByName(whole.mapInArrow(_finished("key"), _block_schema(kind)))
-        aligned = stored(aligned, "aligned")
+        aligned = stored(aligned.withColumn("block", F.monotonically_increasing_id()), "aligned", LARGE_ROWS)
         counts = pair_counts(aligned)
         asked = aligned.select("block", F.posexplode("pairs").alias("place", "pair"))
-        known = asked.join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("place", "count", "best")).alias("known"))
-        known = stored(known, "known")
-    out = aligned.join(known, "block", "left")
+        known = stored(asked.join(counts, "pair").select("block", "place", "count", "best"), "known")
+    # Both sides come to Python sorted, a block at a time, so memory does not depend on the blocks of a task.
+    cells = aligned.select("block", "keys", "sums", "shas", "ends", "slot", "times", F.size("pairs").alias("n_pairs"))
     schema = f"`{key}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return out.mapInArrow(_scored(key), schema)
+    return cells.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_scored(key), schema)

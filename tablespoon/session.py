@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,15 +68,19 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once as Parquet to the shared folder and read it back.
+#: Parquet options for rows of megabytes: a writer looks at its size after 100 rows by default, and a reader takes a row group at a time.
+LARGE_ROWS = {"parquet.block.size": 8 << 20, "parquet.block.row.count.limit": 16, "parquet.page.size.row.check.min": 1}
+
+
+def stored(df: DataFrame, purpose: str, options: Mapping[str, int] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder, with these ``options``, and read it back.
 
     Later passes read the same rows and only their columns, the optimizer knows the size, and a lost executor costs
     one read. The shuffle files behind it go at once; the table lives until :func:`release` or the end of the driver.
     """
     path = scratch_dir(df.sparkSession, purpose)
     with settings(df.sparkSession, FREE_SHUFFLES):
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

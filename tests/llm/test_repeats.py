@@ -8,11 +8,14 @@ import compare
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from test_operators import ODD
 
 from tablespoon.llm import collocations, queries, suffix_dedup, token_align
 from tablespoon.llm.words import hash_spans, text_bytes
+from tablespoon.session import LARGE_ROWS, stored
 
 SF = "/root/testdata/sf0.001"
 PATHS = tuple(map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
@@ -263,6 +266,26 @@ def test_alignment_of_empty_and_null(spark):
     assert token_align.align_tokens(docs.limit(0), *PATHS).count() == 0
 
 
+def test_alignment_of_rows_without_pairs_and_of_text_keys(spark):
+    docs = documents(spark, [("x", None), ("y", "")], "doc_id string, text string")
+    found = token_align.align_tokens(docs, *PATHS)
+    assert sorted(map(tuple, found.collect())) == [(k, 0, 0, 0, 0, 0, 0, "") for k in "xy"]
+
+
+def test_scoring_takes_a_block_at_a_time(spark):
+    """Neither a batch of blocks nor the pairs of several blocks are held at once; both were, and grew with a task's blocks."""
+    found = token_align.align_tokens(documents(spark, [(1, "a b c")]), *PATHS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
+def test_large_rows_are_stored_in_small_row_groups(spark):
+    rows = spark.range(0, 40, 1, 1).select("id", F.expr("repeat(uuid(), 30000)").alias("body"))  # a megabyte each
+    path = stored(rows, "test", LARGE_ROWS).inputFiles()[0].removeprefix("file:")
+    meta = pq.ParquetFile(path).metadata
+    assert meta.num_rows == 40 and max(meta.row_group(k).num_rows for k in range(meta.num_row_groups)) == 16
+
+
 def test_composition_is_associative():
     tokens, rng = token_align.Tokenizers(*PATHS), random.Random(2)
     for text in odd_texts(11, 60):
